@@ -24,10 +24,15 @@ def present(column: str | Column) -> Column:
     return c.isNotNull() & ~F.isnan(c)
 
 
-def melt(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = (), name: str = "feature") -> DataFrame:
-    """Wide to long `(keep..., feature, value)`, missing values dropped."""
+def melt(
+    df: DataFrame, columns: Sequence[str], keep: Sequence[str] = (), name: str = "feature", drop_missing: bool = True
+) -> DataFrame:
+    """Wide to long `(keep..., feature, value)`; missing values are dropped, or kept as NULL."""
     numeric = df.select(*keep, *[F.col(c).cast("double").alias(c) for c in columns])
-    return numeric.unpivot(list(keep), list(columns), name, "value").where(present("value"))
+    long = numeric.unpivot(list(keep), list(columns), name, "value")
+    if drop_missing:
+        return long.where(present("value"))
+    return long.withColumn("value", F.when(~F.isnan("value"), F.col("value")))
 
 
 def prefix_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], measures: Sequence[str]) -> DataFrame:
@@ -74,7 +79,7 @@ def value_counts(values: DataFrame, keys: Sequence[str], value: str = "value") -
 
 def quantiles_of_counts(counts: DataFrame, keys: Sequence[str], probs: Sequence[float], n: str = "n") -> DataFrame:
     """Exact quantiles with linear interpolation: one row per key and probability `(keys, p, quantile)`."""
-    ranked = prefix_sum(counts.where(F.col(n) > 0).select(*keys, "value", n), keys, ["value"], [n])
+    ranked = prefix_sum(counts.where((F.col(n) > 0) & F.col("value").isNotNull()).select(*keys, "value", n), keys, ["value"], [n])
     first, last = F.col(f"{n}_before"), F.col(f"{n}_before") + F.col(n) - 1
     spot = F.col("p") * (F.col(f"{n}_total") - 1)
     wanted = F.array(*[F.lit(float(p)) for p in probs])

@@ -74,9 +74,10 @@ def iqr_bounds(df: DataFrame, columns: Sequence[str], threshold: float = 1.5, ac
 def iqr_outliers(df: DataFrame, columns: Sequence[str], threshold: float = 1.5) -> DataFrame:
     """`(feature, lower, upper, outlier_count, outlier_pct)`; strictly outside, share of all rows.
 
-    Value counts serve both the quantiles and the outlier count, so the table is scanned once for them.
+    Value counts, missing ones included, serve the quartiles, the outlier count and the row count, so
+    the table is scanned once for all three.
     """
-    counts = value_counts(melt(df, columns), ["feature"])
+    counts = value_counts(melt(df, columns, drop_missing=False), ["feature"])
     quartiles = quantiles_wide(
         quantiles_of_counts(counts, ["feature"], [0.25, 0.75]), ["feature"], {0.25: "q25", 0.75: "q75"}
     )
@@ -84,26 +85,30 @@ def iqr_outliers(df: DataFrame, columns: Sequence[str], threshold: float = 1.5)
     bounds = quartiles.select(
         "feature", (F.col("q25") - threshold * spread).alias("lower"), (F.col("q75") + threshold * spread).alias("upper")
     )
-    # one row per column of the table
     outside = (F.col("value") < F.col("lower")) | (F.col("value") > F.col("upper"))
+    # the broadcast side has one row per column of the table
     found = counts.join(F.broadcast(bounds), "feature").groupBy("feature", "lower", "upper").agg(
-        F.sum(F.when(outside, F.col("n")).otherwise(0)).alias("outlier_count")
+        F.sum(F.when(outside, F.col("n")).otherwise(0)).alias("outlier_count"), F.sum("n").alias("rows")
     )
-    rows = df.agg(F.count(F.lit(1)).alias("rows"))
-    return found.join(F.broadcast(rows)).select(
+    return found.select(
         "feature",
         F.round("lower", 6).alias("lower"),
         F.round("upper", 6).alias("upper"),
         "outlier_count",
-        F.round(F.coalesce(F.try_divide(100.0 * F.col("outlier_count"), F.col("rows")), F.lit(0.0)), 6).alias("outlier_pct"),
+        F.round(100.0 * F.col("outlier_count") / F.col("rows"), 6).alias("outlier_pct"),
     )
 
 
 def quality_score(columns: DataFrame, duplicates: DataFrame, outliers: DataFrame) -> DataFrame:
     """0..100 from the three reports (each one row per column, or one row)."""
-    missing = columns.agg(F.avg("missing_pct").alias("avg_missing_pct"))
-    extreme = outliers.agg(F.avg("outlier_pct").alias("avg_outlier_pct"))
-    report = duplicates.join(F.broadcast(missing)).join(F.broadcast(extreme))
+    stacked = duplicates.unionByName(columns.select("missing_pct"), allowMissingColumns=True).unionByName(
+        outliers.select("outlier_pct"), allowMissingColumns=True
+    )
+    report = stacked.agg(
+        *[F.max(c).alias(c) for c in ("total_rows", "total_duplicates", "duplicate_pct")],
+        F.avg("missing_pct").alias("avg_missing_pct"),
+        F.avg("outlier_pct").alias("avg_outlier_pct"),
+    )
     score = (
         F.lit(100.0)
         - F.least(F.col("avg_missing_pct") * 2, F.lit(30.0))

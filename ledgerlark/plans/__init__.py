@@ -1,6 +1,6 @@
 """Named queries over the given tables."""
 
-from ledgerlark.plans import portfolio, quality  # noqa: F401
+from ledgerlark.plans import portfolio, quality, transforms  # noqa: F401
 from ledgerlark.plans.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
