@@ -62,17 +62,17 @@ def _model_rows() -> str:
             f"+ CASE WHEN label = {k} THEN {bonus} ELSE 0 END AS DOUBLE) AS r{k}"
             for k, (a, b, c) in enumerate(rules)
         ]
-        parts.append(f"SELECT '{model}' AS model, label, {', '.join(raw)} FROM items")
+        parts.append(f"SELECT '{model}' AS model, fold, part, label, {', '.join(raw)} FROM items")
     return " UNION ALL ".join(parts)
 
 
 PREDICTIONS = f"""
 items AS (
-  SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber,
+  SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(l_orderkey % 5 AS INTEGER) AS fold, l_linestatus AS part,
          CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END AS label FROM lineitem),
 raw AS ({_model_rows()}),
 predictions AS (
-  SELECT model, label,
+  SELECT model, fold, part, label,
          CASE WHEN r0 >= r1 AND r0 >= r2 THEN 0 WHEN r1 >= r2 THEN 1 ELSE 2 END AS prediction,
          r0 / (r0 + r1 + r2) AS p0, r1 / (r0 + r1 + r2) AS p1, r2 / (r0 + r1 + r2) AS p2
   FROM raw)

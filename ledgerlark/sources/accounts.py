@@ -92,9 +92,14 @@ SCORE_MODULUS = 97
 
 
 def predictions(spark: SparkSession, folder: str) -> DataFrame:
-    """`(model, label, prediction, probability array<double>)` for every line item and model; classes 0..2."""
+    """`(model, fold, part, label, prediction, probability array<double>)` per line item and model; classes 0..2.
+
+    `fold` (order key mod 5) and `part` (line status) stand in for validation folds and model versions.
+    """
     items = table(spark, folder, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+        (F.col("l_orderkey") % 5).cast("int").alias("fold"),
+        F.col("l_linestatus").alias("part"),
         (F.array_position(F.array(*[F.lit(c) for c in SCORE_CLASSES]), F.col("l_returnflag")) - 1).cast("int").alias("label"),
     )
 
@@ -115,11 +120,13 @@ def predictions(spark: SparkSession, folder: str) -> DataFrame:
             ).alias("raw"),
         )
 
-    long = items.select("label", F.explode(F.array(*[scores(m) for m in SCORE_MODELS])).alias("s"))
+    long = items.select("fold", "part", "label", F.explode(F.array(*[scores(m) for m in SCORE_MODELS])).alias("s"))
     raw = F.col("s.raw")
     total = raw[0] + raw[1] + raw[2]
     return long.select(
         F.col("s.model").alias("model"),
+        "fold",
+        "part",
         "label",
         (F.array_position(raw, F.array_max(raw)) - 1).cast("int").alias("prediction"),
         F.array(raw[0] / total, raw[1] / total, raw[2] / total).alias("probability"),
