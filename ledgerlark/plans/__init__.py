@@ -1,6 +1,6 @@
 """Named queries over the given tables."""
 
-from ledgerlark.plans import evaluation, monitoring, portfolio, quality, testing, transforms  # noqa: F401
+from ledgerlark.plans import evaluation, learning, monitoring, portfolio, quality, testing, transforms  # noqa: F401
 from ledgerlark.plans.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
