@@ -5,7 +5,9 @@ from __future__ import annotations
 import itertools
 import random
 from collections.abc import Callable, Mapping, Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
@@ -32,6 +34,7 @@ GRIDS = {
     "logistic": {"C": [0.1, 1.0, 10.0], "elasticNetParam": [0.0, 1.0]},
 }
 SEED = 42
+PARALLEL_FITS = 4
 
 
 def training_frame(df: DataFrame, features: Sequence[str], target: str, id_column: str) -> DataFrame:
@@ -131,25 +134,55 @@ def evaluate(scored: DataFrame) -> DataFrame:
     return m.model_metrics(scored.withColumn("label", F.col("label").cast("int")))
 
 
-def cross_validate(
-    df: DataFrame, build: Callable[[DataFrame], Estimator], folds: Sequence[int], name: str, expanding: bool = False
+def fit_folds(
+    df: DataFrame,
+    builds: Mapping[str, Callable[[DataFrame], Estimator]],
+    folds: Sequence[int],
+    expanding: bool = False,
+    parallelism: int = PARALLEL_FITS,
 ) -> DataFrame:
-    """Out-of-fold metrics `(model, fold, accuracy, f1_weighted, ...)`; `df` carries a `fold` column.
+    """Out-of-fold predictions `(model, fold, label, prediction)` of several candidates in one table.
 
-    One fit per fold; all folds are scored into one table and evaluated together. Expanding folds train
-    on earlier folds (and fold -1) only. Scalers are fitted inside the training part.
+    `df` carries a `fold` column. Scalers are fitted inside the training part, once per fold. Fits are
+    independent Spark jobs, so a few run at a time to fill the cluster. Expanding folds train on earlier
+    folds (and fold -1) only.
     """
-    parts = []
-    for fold in folds:
+
+    def prepare(fold: int) -> tuple[DataFrame, DataFrame]:
         train = df.where(F.col("fold") < fold) if expanding else df.where(F.col("fold") != fold)
-        train, test = scaled(train, df.where(F.col("fold") == fold))
-        parts.append(score(build(train).fit(train), test, ["id", "label", "fold"]))
-    stacked = parts[0]
-    for part in parts[1:]:
-        stacked = stacked.unionByName(part)
-    named = stacked.select(F.lit(name).alias("model"), F.col("label").cast("int").alias("label"), "fold", "prediction")
+        return tuple(scaled(train, df.where(F.col("fold") == fold)))
+
+    parts = dict(zip(folds, _parallel(prepare, list(folds), parallelism, df)))
+    tasks = [(name, fold) for name in builds for fold in folds]
+    fitted = _parallel(lambda t: builds[t[0]](parts[t[1]][0]).fit(parts[t[1]][0]), tasks, parallelism, df)
+    out = None
+    for (name, fold), model in zip(tasks, fitted):
+        scored = score(model, parts[fold][1], ["label", "fold"]).select(
+            F.lit(name).alias("model"), "fold", F.col("label").cast("int").alias("label"), "prediction"
+        )
+        out = scored if out is None else out.unionByName(scored)
+    return out
+
+
+def _parallel(work: Callable, items: Sequence, parallelism: int, df: DataFrame) -> list:
+    pool = ThreadPool(min(parallelism, len(items)))
+    try:
+        return pool.map(inheritable_thread_target(df.sparkSession)(work), items)
+    finally:
+        pool.close()
+
+
+def fold_metrics(predictions: DataFrame) -> DataFrame:
+    """Metrics per candidate and fold, from one confusion table of all of them."""
     keys = ["model", "fold"]
-    return m.averages(m.class_report(m.confusion(named, keys), keys), keys)
+    return m.averages(m.class_report(m.confusion(predictions, keys), keys), keys)
+
+
+def cross_validate(
+    df: DataFrame, build: Callable[[DataFrame], Estimator], folds: Sequence[int], name: str, expanding: bool = False
+) -> DataFrame:
+    """`(model, fold, accuracy, f1_weighted, ...)` of one candidate."""
+    return fold_metrics(fit_folds(df, {name: build}, folds, expanding))
 
 
 def grid_points(grid: Mapping[str, Sequence]) -> list[dict]:
@@ -167,14 +200,10 @@ def search(
     df: DataFrame, build: Callable[..., Estimator], points: Sequence[dict], folds: Sequence[int], metric: str = "f1_weighted"
 ) -> DataFrame:
     """`(params, mean, std, rank)` of each parameter set over the folds; ties to the earlier set."""
-    tables = []
-    for i, point in enumerate(points):
-        label = f"{i:03d} " + ", ".join(f"{k}={v}" for k, v in point.items())
-        tables.append(cross_validate(df, lambda train, p=point: build(train, **p), folds, label))
-    stacked = tables[0]
-    for t in tables[1:]:
-        stacked = stacked.unionByName(t)
-    means = stacked.groupBy(F.col("model").alias("params")).agg(F.avg(metric).alias("mean"), F.stddev_pop(metric).alias("std"))
+    named = {f"{i:03d} " + ", ".join(f"{k}={v}" for k, v in p.items()): p for i, p in enumerate(points)}
+    builds = {name: (lambda train, p=point: build(train, **p)) for name, point in named.items()}
+    scores = fold_metrics(fit_folds(df, builds, folds))
+    means = scores.groupBy(F.col("model").alias("params")).agg(F.avg(metric).alias("mean"), F.stddev_pop(metric).alias("std"))
     # one row per parameter set
     order = Window.partitionBy(F.lit(0)).orderBy(F.desc("mean"), "params")
     return means.withColumn("rank", F.row_number().over(order))

@@ -13,7 +13,7 @@ from ledgerlark.operators import models as ml
 from ledgerlark.operators import neighbours as nn
 from ledgerlark.plans.registry import query
 from ledgerlark.plans.views import ACCOUNTS
-from ledgerlark.session import run_dir
+from ledgerlark.session import materialise, run_dir
 from ledgerlark.sources.accounts import NUMERIC_FEATURES, accounts
 from ledgerlark.sources.tables import table
 
@@ -148,7 +148,8 @@ def cv_metrics(spark: SparkSession, folder: str) -> DataFrame:
 def fitted_transforms(spark: SparkSession, folder: str) -> DataFrame:
     """All preprocessing and feature steps fitted as one, saved, loaded and applied."""
     numeric = [c for c in NUMERIC_FEATURES if c != "customer_age"]
-    df = accounts(spark, folder).select("customer_id", "payment_status", "employment_status", "debt_type", *numeric)
+    # every step reads its input anew to fit, so the view is written once first
+    df = materialise(accounts(spark, folder).select("customer_id", "payment_status", "employment_status", "debt_type", *numeric))
     before = Pipeline(stages=[
         ft.ColumnImputer(inputCols=numeric, method="median"),
         ft.ColumnImputer(inputCols=["employment_status", "debt_type"], method="most_frequent"),
