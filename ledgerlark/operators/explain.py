@@ -117,17 +117,15 @@ def risk_factors(shap: DataFrame, limit: float = -0.1) -> DataFrame:
 
 def model_behaviour(shap: DataFrame) -> DataFrame:
     """One row: mean spread of features; and the distribution of row totals."""
-    stability = shap.groupBy("feature").agg(F.stddev_pop("shap_value").alias("std")).agg(F.avg("std").alias("prediction_stability"))
+    stability = shap.groupBy("feature").agg(F.stddev_pop("shap_value").alias("std")).agg(F.avg("std")).first()[0]
     totals = shap.groupBy("row_id").agg(F.sum("shap_value").alias("total"))
-    stats = totals.agg(F.avg("total").alias("mean"), F.stddev_pop("total").alias("std"), F.skewness("total").alias("skewness")).first()
-    spread = stats["std"] if stats["std"] is not None else 0.0
-    shares = totals.agg(F.avg((F.abs("total") > F.lit(spread)).cast("int")).alias("high_confidence_predictions"))
-    # both sides are one aggregate row with a constant key
-    left, right = stability.withColumn("k", F.lit(0)), shares.withColumn("k", F.lit(0))
-    return left.join(right, "k").select(
-        "prediction_stability", "high_confidence_predictions",
-        F.lit(stats["mean"]).alias("mean"), F.lit(spread).alias("std"),
-        F.lit(stats["skewness"] if stats["skewness"] is not None else 0.0).alias("skewness"),
+    spread = totals.agg(F.stddev_pop("total")).first()[0] or 0.0
+    return totals.agg(
+        F.lit(stability).alias("prediction_stability"),
+        F.avg((F.abs("total") > F.lit(spread)).cast("int")).alias("high_confidence_predictions"),
+        F.avg("total").alias("mean"),
+        F.stddev_pop("total").alias("std"),
+        F.coalesce(F.skewness("total"), F.lit(0.0)).alias("skewness"),
     )
 
 
