@@ -111,9 +111,9 @@ def quality_score(columns: DataFrame, duplicates: DataFrame, outliers: DataFrame
     )
     score = (
         F.lit(100.0)
-        - F.least(F.col("avg_missing_pct") * 2, F.lit(30.0))
+        - F.least(F.coalesce("avg_missing_pct", F.lit(0.0)) * 2, F.lit(30.0))
         - F.least(F.col("duplicate_pct") * 3, F.lit(20.0))
-        - F.coalesce(F.least(F.col("avg_outlier_pct") * 0.5, F.lit(15.0)), F.lit(0.0))
+        - F.least(F.coalesce("avg_outlier_pct", F.lit(0.0)) * 0.5, F.lit(15.0))
     )
     return report.select(
         "total_rows", "total_duplicates", "duplicate_pct",
@@ -177,14 +177,16 @@ def boxplot_stats(df: DataFrame, column: str, by: str, digits: int = 4) -> DataF
 
 
 def bin_of(value: Column, low: Column, high: Column, bins: int) -> Column:
-    """0-based equal-width bin, last one right-closed; NULL outside. A constant range is widened by 0.5 each way."""
+    """0-based equal-width bin, last one right-closed; NULL outside. A constant range is widened by 0.5 each way.
+
+    A bin starts at its own edge `start + i * width`, so a value on an edge is never moved by rounding.
+    """
     constant = low == high
     start = F.when(constant, low - 0.5).otherwise(low)
-    width = F.when(constant, F.lit(1.0)).otherwise(high - low) / bins
-    inside = (value >= start) & (value <= start + width * bins)
-    last = (value == high) & ~constant
-    at = F.least(F.floor((value - start) / width), F.lit(bins - 1))
-    return F.when(last, F.lit(bins - 1)).when(inside, at).cast("int")
+    stop = F.when(constant, high + 0.5).otherwise(high)
+    width = (stop - start) / bins
+    reached = sum(((value >= i * width + start).cast("int") for i in range(1, bins)), F.lit(0))
+    return F.when((value >= start) & (value <= stop), reached)
 
 
 def histogram(df: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgerlark.operators import drift
 from ledgerlark.operators.ordered import melt
 from ledgerlark.plans.registry import query
+from ledgerlark.plans.views import bin_sql
 from ledgerlark.sources.tables import table
 
 CUT = "1999-01-01"
@@ -35,10 +36,10 @@ mw0 AS (SELECT feature, sum(n_ref * (ref_upto + new_upto - n_ref - n_new + (n_re
 mw AS (SELECT feature, rs - n1 * (n1 + 1) / 2 AS u,
     (greatest(rs - n1 * (n1 + 1) / 2, n1 * n2 - (rs - n1 * (n1 + 1) / 2)) - n1 * n2 / 2 - 0.5)
     / sqrt(n1 * n2 / 12 * (n1 + n2 + 1 - ties / ((n1 + n2) * (n1 + n2 - 1)))) AS z FROM mw0)"""
-PSI = """
+PSI = f"""
 ranges AS (SELECT feature, min(value) AS lo, max(value) AS hi FROM counts WHERE n_ref > 0 GROUP BY 1),
 bins AS (SELECT feature, bin, sum(n_ref) AS r, sum(n_new) AS q, min(n1) AS n1, min(n2) AS n2 FROM (
-    SELECT feature, n_ref, n_new, n1, n2, CASE WHEN value = hi THEN 9 WHEN value BETWEEN lo AND hi THEN least(floor((value - lo) / ((hi - lo) / 10)), 9) END AS bin
+    SELECT feature, n_ref, n_new, n1, n2, {bin_sql('value', 'lo', 'hi')} AS bin
     FROM ranked JOIN ranges USING (feature)) WHERE bin IS NOT NULL GROUP BY 1, 2),
 shares AS (SELECT feature, CASE WHEN r = 0 THEN 0.0001::DOUBLE ELSE r / n1 END AS p, CASE WHEN q = 0 THEN 0.0001::DOUBLE ELSE q / n2 END AS q FROM bins),
 psi AS (SELECT feature, sum((q - p) * ln(q / p)) AS psi FROM shares GROUP BY 1)"""

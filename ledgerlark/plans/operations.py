@@ -13,7 +13,7 @@ from ledgerlark.functions.rules import pick
 from ledgerlark.operators import oplog
 from ledgerlark.operators.experiments import assign_variant
 from ledgerlark.plans.registry import query
-from ledgerlark.plans.views import AB_EVENTS, ACCOUNTS
+from ledgerlark.plans.views import AB_EVENTS, ACCOUNTS, bin_sql
 from ledgerlark.session import run_dir
 from ledgerlark.sources import tables
 from ledgerlark.sources.accounts import EXPERIMENTS, accounts
@@ -122,7 +122,7 @@ DRIFT_CUT = "2024-01-08"
 @query(f"""
 WITH e AS (SELECT ts, event_type, value * CASE WHEN ts >= TIMESTAMP '2024-01-20' THEN 1.4::DOUBLE ELSE 1.0::DOUBLE END AS value FROM events),
 ranges AS (SELECT event_type, min(value) AS lo, max(value) AS hi, count(*)::DOUBLE AS size FROM e WHERE ts < TIMESTAMP '{DRIFT_CUT}' GROUP BY 1),
-b AS (SELECT ts, event_type, CASE WHEN value = hi THEN 9 WHEN value BETWEEN lo AND hi THEN least(floor((value - lo) / ((hi - lo) / 10)), 9) ELSE -1 END AS bin FROM e JOIN ranges USING (event_type)),
+b AS (SELECT ts, event_type, coalesce({bin_sql('value', 'lo', 'hi')}, -1) AS bin FROM e JOIN ranges USING (event_type)),
 grid AS (SELECT event_type, size, unnest(range(10)) AS bin FROM ranges),
 ref AS (SELECT g.event_type, g.bin, count(b.ts) / min(g.size) AS p FROM grid g LEFT JOIN b ON g.event_type = b.event_type AND g.bin = b.bin AND b.ts < TIMESTAMP '{DRIFT_CUT}' GROUP BY 1, 2),
 days AS (SELECT date_trunc('day', ts) AS window_start, event_type, count(*) AS size FROM b WHERE ts >= TIMESTAMP '{DRIFT_CUT}' GROUP BY 1, 2),

@@ -10,7 +10,7 @@ from ledgerlark.operators import explore, profile
 from ledgerlark.operators.ordered import melt
 from ledgerlark.plans.portfolio import with_segment
 from ledgerlark.plans.registry import query
-from ledgerlark.plans.views import ACCOUNTS, RISK_SEGMENT
+from ledgerlark.plans.views import ACCOUNTS, RISK_SEGMENT, bin_sql
 from ledgerlark.sources.accounts import accounts
 from ledgerlark.sources.tables import table
 
@@ -175,7 +175,7 @@ def boxplot_stats(spark: SparkSession, folder: str) -> DataFrame:
 def _histogram(column: str) -> str:
     return f"""
   SELECT '{column}' AS feature, CAST(b AS INTEGER) AS bin, count(v) AS n FROM range(10) AS g(b) LEFT JOIN (
-    SELECT {column} AS v, CASE WHEN {column} = hi THEN 9 ELSE least(floor(({column} - lo) / ((hi - lo) / 10)), 9) END AS vb
+    SELECT {column} AS v, {bin_sql(column, 'lo', 'hi')} AS vb
     FROM lineitem, (SELECT min({column}) AS lo, max({column}) AS hi FROM lineitem)) ON vb = b GROUP BY b"""
 
 

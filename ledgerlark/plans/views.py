@@ -95,3 +95,9 @@ ab_actuals AS (
   SELECT event_id AS unit_id, ts AS actual_ts, CAST(event_id % 3 AS INTEGER) AS actual
   FROM events WHERE event_id % 10 <> 9)
 """
+
+
+def bin_sql(value: str, low: str, high: str, bins: int = 10) -> str:
+    """Number of inner edges the value has reached; NULL outside the range."""
+    edges = " + ".join(f"CASE WHEN {value} >= {i} * (({high} - {low}) / {bins}) + {low} THEN 1 ELSE 0 END" for i in range(1, bins))
+    return f"CASE WHEN {value} BETWEEN {low} AND {high} THEN {edges} END"
