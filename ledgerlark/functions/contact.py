@@ -1,4 +1,4 @@
-"""Contact channel, timing and strategy of one account, computed inside the row (no shuffle, no UDF)."""
+"""Contact channel, timing and strategy of one account, as expressions and one ten-row table (no shuffle, no UDF)."""
 
 from __future__ import annotations
 
@@ -31,6 +31,8 @@ URGENT_BEST_HOURS = [9, 10, 11, 12, 13, 14, 15, 16, 17, 18, 19]
 URGENT_AVOID_HOURS = [21, 22, 23, 0, 1, 2, 3, 4, 5, 6, 7, 8]
 EMPLOYED_DAYS = (["Monday", "Tuesday", "Wednesday", "Thursday", "Friday"], ["Saturday", "Sunday"])
 OTHER_DAYS = (["Tuesday", "Wednesday", "Thursday", "Friday", "Saturday"], ["Monday", "Sunday"])
+OTHER_POLICY = "other"  # any other status: hours of the employed, days of the others
+URGENT_DAYS = 60
 MIDWEEK = ["Tuesday", "Wednesday", "Thursday"]
 PROFILE_DEFAULTS = {
     "payment_status": "unknown",
@@ -120,12 +122,12 @@ def channel_options(days: Column, debt: Column, success: Column, age: Column) ->
 
 def best_hours(employment: Column, days: Column) -> Column:
     usual = pick(employment, BEST_HOURS, BEST_HOURS["employed"])
-    return F.when(days > 60, F.array(*[F.lit(h) for h in URGENT_BEST_HOURS])).otherwise(usual)
+    return F.when(days > URGENT_DAYS, F.array(*[F.lit(h) for h in URGENT_BEST_HOURS])).otherwise(usual)
 
 
 def avoid_hours(employment: Column, days: Column) -> Column:
     usual = pick(employment, AVOID_HOURS, AVOID_HOURS["employed"])
-    return F.when(days > 60, F.array(*[F.lit(h) for h in URGENT_AVOID_HOURS])).otherwise(usual)
+    return F.when(days > URGENT_DAYS, F.array(*[F.lit(h) for h in URGENT_AVOID_HOURS])).otherwise(usual)
 
 
 def best_days(employment: Column) -> Column:
@@ -171,6 +173,32 @@ def next_slots(employment: Column, days: Column, as_of: Column, horizon_days: in
     return F.slice(F.array_sort(every), 1, keep)
 
 
+def slot_policy(spark: SparkSession, as_of: Column, horizon_days: int = 7, keep: int = 5) -> DataFrame:
+    """`(policy, urgent, best_hours, avoid_hours, best_days, avoid_days, next_best_times)`.
+
+    Timing depends on the employment class and on urgency only, so the slots are worked out for these
+    ten combinations instead of for every account.
+    """
+    classes = [(name, urgent) for name in [*BEST_HOURS, OTHER_POLICY] for urgent in (False, True)]
+    rows = spark.createDataFrame(classes, "policy string, urgent boolean")
+    employment, days = F.col("policy"), F.when(F.col("urgent"), F.lit(URGENT_DAYS + 1)).otherwise(F.lit(0))
+    return rows.select(
+        "policy", "urgent",
+        best_hours(employment, days).alias("best_hours"),
+        avoid_hours(employment, days).alias("avoid_hours"),
+        best_days(employment).alias("best_days"),
+        avoid_days(employment).alias("avoid_days"),
+        next_slots(employment, days, as_of, horizon_days, keep).alias("next_best_times"),
+    )
+
+
+def with_timing(df: DataFrame, as_of: Column) -> DataFrame:
+    """Add the timing columns; the policy side has ten fixed rows, so its broadcast is safe at any scale."""
+    policy = F.when(F.col("employment_status").isin(list(BEST_HOURS)), F.col("employment_status")).otherwise(OTHER_POLICY)
+    keyed = df.withColumns({"policy": policy, "urgent": F.col("days_overdue") > URGENT_DAYS})
+    return keyed.join(F.broadcast(slot_policy(df.sparkSession, as_of)), ["policy", "urgent"], "left").drop("policy", "urgent")
+
+
 def strategy(days: Column, debt: Column, status: Column) -> Column:
     """Struct (approach, frequency, escalation_timeline, special_instructions)."""
 
@@ -197,9 +225,9 @@ def strategy(days: Column, debt: Column, status: Column) -> Column:
 
 
 def recommendation(df: DataFrame, as_of: Column) -> DataFrame:
-    """The whole recommendation document of each account in one narrow projection."""
-    p = with_profile_defaults(df)
-    days, debt, employment = F.col("days_overdue"), F.col("debt_amount"), F.col("employment_status")
+    """The whole recommendation document of each account, without a shuffle."""
+    p = with_timing(with_profile_defaults(df), as_of)
+    days, debt = F.col("days_overdue"), F.col("debt_amount")
     options = channel_options(days, debt, F.col("contact_success_rate"), F.col("customer_age"))
     return p.select(
         "customer_id",
@@ -209,11 +237,7 @@ def recommendation(df: DataFrame, as_of: Column) -> DataFrame:
             urgency_level(days, debt).alias("urgency_level"),
         ).alias("channel_recommendations"),
         F.struct(
-            best_hours(employment, days).alias("best_hours"),
-            avoid_hours(employment, days).alias("avoid_hours"),
-            best_days(employment).alias("best_days"),
-            avoid_days(employment).alias("avoid_days"),
-            next_slots(employment, days, as_of).alias("next_best_times"),
+            "best_hours", "avoid_hours", "best_days", "avoid_days", "next_best_times"
         ).alias("timing_recommendations"),
         strategy(days, debt, F.col("payment_status")).alias("contact_strategy"),
         as_of.alias("generated_at"),

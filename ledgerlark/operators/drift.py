@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgerlark.functions.special import chi2_tail, kolmogorov_tail, normal_two_sided
-from ledgerlark.operators.ordered import melt, prefix_sum, quantiles_of_counts, quantiles_wide
-from ledgerlark.operators.profile import bin_of
+from ledgerlark.operators.ordered import melt, prefix_sum, quantiles_of_ranked, quantiles_wide
+from ledgerlark.operators.profile import bin_of, bin_ranges
+from ledgerlark.session import materialise
 
 P_LIMIT = 0.05
 PSI_LIMIT = 0.2
@@ -76,8 +77,7 @@ def side_stats(ranked: DataFrame, side: str) -> DataFrame:
     )
     size, m2 = F.col("size"), F.col("m2") / F.col("size")
     names = {0.25: "q25", 0.5: "median", 0.75: "q75"}
-    counts = present.select("feature", "value", n.alias("n"))
-    wide = quantiles_wide(quantiles_of_counts(counts, ["feature"], list(names)), ["feature"], names)
+    wide = quantiles_wide(quantiles_of_ranked(ranked, ["feature"], list(names), f"n_{side}"), ["feature"], names)
     return central.join(wide, "feature").select(
         "feature",
         size.alias("n"),
@@ -90,28 +90,32 @@ def side_stats(ranked: DataFrame, side: str) -> DataFrame:
     )
 
 
-def ks_test(ranked: DataFrame) -> DataFrame:
-    """Two-sample Kolmogorov-Smirnov `(feature, statistic, p_value)`, asymptotic p."""
+def rank_sums(ranked: DataFrame) -> DataFrame:
+    """Everything the rank tests need, one row per feature from one pass."""
     gap = F.abs(F.col("ecdf_ref") - F.col("ecdf_new"))
-    per = ecdf_ranks(ranked).groupBy("feature").agg(
-        F.max(gap).alias("statistic"), F.max("n_ref_total").alias("n1"), F.max("n_new_total").alias("n2")
+    ties = F.col("n_ref").cast("double") + F.col("n_new")
+    return ecdf_ranks(ranked).groupBy("feature").agg(
+        F.max(gap).alias("largest_gap"),
+        F.sum(F.col("n_ref") * F.col("mean_rank")).alias("rank_sum"),
+        F.sum(ties * ties * ties - ties).alias("tie_sum"),
+        F.max("n_ref_total").cast("double").alias("n1"),
+        F.max("n_new_total").cast("double").alias("n2"),
+    )
+
+
+def ks_test(sums: DataFrame) -> DataFrame:
+    """Two-sample Kolmogorov-Smirnov `(feature, statistic, p_value)`, asymptotic p."""
+    d, n1, n2 = F.col("largest_gap"), F.col("n1"), F.col("n2")
+    return sums.select(
+        "feature", d.alias("statistic"), kolmogorov_tail(F.sqrt(F.try_divide(n1 * n2, n1 + n2)) * d).alias("p_value")
     )
-    effective = F.sqrt(F.try_divide(F.col("n1") * F.col("n2").cast("double"), F.col("n1") + F.col("n2")))
-    return per.select("feature", "statistic", kolmogorov_tail(effective * F.col("statistic")).alias("p_value"))
 
 
-def mann_whitney(ranked: DataFrame) -> DataFrame:
+def mann_whitney(sums: DataFrame) -> DataFrame:
     """Two-sided Mann-Whitney `(feature, statistic, z, p_value)`; statistic is U of the reference.
 
     Normal approximation with tie and continuity correction at every size.
     """
-    ties = F.col("n_ref").cast("double") + F.col("n_new")
-    sums = ecdf_ranks(ranked).groupBy("feature").agg(
-        F.sum(F.col("n_ref") * F.col("mean_rank")).alias("rank_sum"),
-        F.sum(ties * ties * ties - ties).alias("tie_sum"),
-        F.max("n_ref_total").cast("double").alias("n1"),
-        F.max("n_new_total").cast("double").alias("n2"),
-    )
     n1, n2 = F.col("n1"), F.col("n2")
     n = n1 + n2
     u = F.col("rank_sum") - n1 * (n1 + 1) / 2
@@ -129,11 +133,9 @@ def psi(ranked: DataFrame, bins: int = PSI_BINS) -> DataFrame:
     New values outside the range stay in the denominator only. A bin empty on both sides adds exactly
     0, so bins without rows need no grid.
     """
-    ranges = ranked.where(F.col("n_ref") > 0).groupBy("feature").agg(F.min("value").alias("low"), F.max("value").alias("high"))
+    ranges = bin_ranges(ranked.where(F.col("n_ref") > 0), ["feature"], bins)
     # one row per feature
-    binned = ranked.join(F.broadcast(ranges), "feature").withColumn(
-        "bin", bin_of(F.col("value"), F.col("low"), F.col("high"), bins)
-    )
+    binned = ranked.join(F.broadcast(ranges), "feature").withColumn("bin", bin_of("value", bins))
     per_bin = binned.where(F.col("bin").isNotNull()).groupBy("feature", "bin", "n_ref_total", "n_new_total").agg(
         F.sum("n_ref").alias("r"), F.sum("n_new").alias("q")
     )
@@ -147,9 +149,10 @@ def psi(ranked: DataFrame, bins: int = PSI_BINS) -> DataFrame:
 
 def drift_tests(ranked: DataFrame) -> DataFrame:
     """Tidy rows `(feature, test, statistic, p_value, drift_detected)`."""
-    p_flag = F.col("p_value") < P_LIMIT
-    ks = ks_test(ranked).select("feature", F.lit("ks_test").alias("test"), "statistic", "p_value", p_flag.alias("drift_detected"))
-    mw = mann_whitney(ranked).select("feature", F.lit("mannwhitney_test").alias("test"), "statistic", "p_value", p_flag.alias("drift_detected"))
+    # one row per feature, written once and read by both rank tests
+    sums, p_flag = materialise(rank_sums(ranked)), F.col("p_value") < P_LIMIT
+    ks = ks_test(sums).select("feature", F.lit("ks_test").alias("test"), "statistic", "p_value", p_flag.alias("drift_detected"))
+    mw = mann_whitney(sums).select("feature", F.lit("mannwhitney_test").alias("test"), "statistic", "p_value", p_flag.alias("drift_detected"))
     index = psi(ranked).select(
         "feature", F.lit("psi").alias("test"), "statistic", F.lit(None).cast("double").alias("p_value"),
         (F.col("statistic") > PSI_LIMIT).alias("drift_detected"),
@@ -158,14 +161,20 @@ def drift_tests(ranked: DataFrame) -> DataFrame:
 
 
 def feature_verdicts(tests: DataFrame) -> DataFrame:
-    """Votes per feature; drift when at least half of the available tests say so."""
+    """Votes per feature; drift when at least half of the available tests say so.
+
+    One row per feature, written once since summary, alerts and missing features all read it.
+    """
     available = tests.where(F.col("drift_detected").isNotNull())
-    return available.groupBy("feature").agg(
+    votes = available.groupBy("feature").agg(
         F.sum(F.col("drift_detected").cast("int")).alias("votes"), F.count(F.lit(1)).alias("tests")
-    ).select(
-        "feature", "votes", "tests",
-        (F.col("votes") >= F.col("tests") / 2).alias("drift_detected"),
-        (F.col("votes") / F.col("tests")).alias("drift_score"),
+    )
+    return materialise(
+        votes.select(
+            "feature", "votes", "tests",
+            (F.col("votes") >= F.col("tests") / 2).alias("drift_detected"),
+            (F.col("votes") / F.col("tests")).alias("drift_score"),
+        )
     )
 
 

@@ -77,18 +77,15 @@ def value_counts(values: DataFrame, keys: Sequence[str], value: str = "value") -
     return values.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
 
 
-def quantiles_of_counts(counts: DataFrame, keys: Sequence[str], probs: Sequence[float], n: str = "n") -> DataFrame:
-    """Exact quantiles with linear interpolation: one row per key and probability `(keys, p, quantile)`."""
-    ranked = prefix_sum(counts.where((F.col(n) > 0) & F.col("value").isNotNull()).select(*keys, "value", n), keys, ["value"], [n])
+def quantiles_of_ranked(ranked: DataFrame, keys: Sequence[str], probs: Sequence[float], n: str = "n") -> DataFrame:
+    """Exact quantiles with linear interpolation, `(keys..., p, quantile)`, from counts with their running sums."""
+    total = F.col(f"{n}_total") - 1
     first, last = F.col(f"{n}_before"), F.col(f"{n}_before") + F.col(n) - 1
-    spot = F.col("p") * (F.col(f"{n}_total") - 1)
     wanted = F.array(*[F.lit(float(p)) for p in probs])
-
-    def touches(p: Column) -> Column:
-        at = p * (F.col(f"{n}_total") - 1)
-        return (F.ceil(at) >= first) & (F.floor(at) <= last)
-
-    hits = ranked.withColumn("p", F.explode(F.filter(wanted, touches)))
+    spot = F.col("p") * total
+    hits = ranked.where(F.col(n) > 0).withColumn(
+        "p", F.explode(F.filter(wanted, lambda p: (F.ceil(p * total) >= first) & (F.floor(p * total) <= last)))
+    )
     low = F.max(F.when((F.floor(spot) >= first) & (F.floor(spot) <= last), F.col("value")))
     high = F.max(F.when((F.ceil(spot) >= first) & (F.ceil(spot) <= last), F.col("value")))
     frac = F.max(spot - F.floor(spot))
@@ -99,6 +96,12 @@ def quantiles_of_counts(counts: DataFrame, keys: Sequence[str], probs: Sequence[
     )
 
 
+def quantiles_of_counts(counts: DataFrame, keys: Sequence[str], probs: Sequence[float], n: str = "n") -> DataFrame:
+    """Exact quantiles of value counts."""
+    present_counts = counts.where((F.col(n) > 0) & F.col("value").isNotNull()).select(*keys, "value", n)
+    return quantiles_of_ranked(prefix_sum(present_counts, keys, ["value"], [n]), keys, probs, n)
+
+
 def quantiles(
     df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = (), accuracy: int | None = None
 ) -> DataFrame:

@@ -176,27 +176,38 @@ def boxplot_stats(df: DataFrame, column: str, by: str, digits: int = 4) -> DataF
     )
 
 
-def bin_of(value: Column, low: Column, high: Column, bins: int) -> Column:
-    """0-based equal-width bin, last one right-closed; NULL outside. A constant range is widened by 0.5 each way.
+def bin_ranges(values: DataFrame, keys: Sequence[str], bins: int, value: str = "value") -> DataFrame:
+    """`(keys..., start, stop, width)` of equal-width bins per key; a constant range is widened by 0.5 each way.
 
-    A bin starts at its own edge `start + i * width`, so a value on an edge is never moved by rounding.
+    Edges are worked out here, once per key, so that the per-row expression of `bin_of` stays small.
     """
-    constant = low == high
-    start = F.when(constant, low - 0.5).otherwise(low)
-    stop = F.when(constant, high + 0.5).otherwise(high)
-    width = (stop - start) / bins
+    low, high = F.col("low"), F.col("high")
+    ranges = values.groupBy(*keys).agg(F.min(value).alias("low"), F.max(value).alias("high"))
+    return ranges.select(
+        *keys,
+        F.when(low == high, low - 0.5).otherwise(low).alias("start"),
+        F.when(low == high, high + 0.5).otherwise(high).alias("stop"),
+    ).withColumn("width", (F.col("stop") - F.col("start")) / bins)
+
+
+def bin_of(value: Column | str, bins: int) -> Column:
+    """0-based bin of a row that carries `start`, `stop` and `width`; last bin right-closed, NULL outside.
+
+    Bin i begins at its own edge `start + i * width`, so a value on an edge is never moved by rounding.
+    """
+    value = F.col(value) if isinstance(value, str) else value
+    start, width = F.col("start"), F.col("width")
     reached = sum(((value >= i * width + start).cast("int") for i in range(1, bins)), F.lit(0))
-    return F.when((value >= start) & (value <= stop), reached)
+    return F.when((value >= start) & (value <= F.col("stop")), reached)
 
 
 def histogram(df: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFrame:
     """`(feature, bin, n)` over each column's own range, empty bins included."""
     long = melt(df, columns)
-    ranges = long.groupBy("feature").agg(F.min("value").alias("low"), F.max("value").alias("high"))
+    ranges = bin_ranges(long, ["feature"], bins)
     # one row per column of the table
-    binned = long.join(F.broadcast(ranges), "feature").select(
-        "feature", bin_of(F.col("value"), F.col("low"), F.col("high"), bins).alias("bin")
+    counted = long.join(F.broadcast(ranges), "feature").groupBy("feature", bin_of("value", bins).alias("bin")).agg(
+        F.count(F.lit(1)).alias("n")
     )
-    counted = binned.groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("n"))
     grid = ranges.select("feature", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     return grid.join(counted, ["feature", "bin"], "left").select("feature", "bin", F.coalesce("n", F.lit(0)).alias("n"))

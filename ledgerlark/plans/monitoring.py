@@ -113,13 +113,13 @@ def ecdf_ranks(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"WITH {LONG}, {KS} SELECT feature, round(d, 6) AS statistic, round(p, 6) AS p_value, p < 0.05 AS drift_detected FROM ks")
 def ks_stat(spark: SparkSession, folder: str) -> DataFrame:
-    test = drift.ks_test(ranked(spark, folder))
+    test = drift.ks_test(drift.rank_sums(ranked(spark, folder)))
     return test.select("feature", F.round("statistic", 6).alias("statistic"), F.round("p_value", 6).alias("p_value"), (F.col("p_value") < 0.05).alias("drift_detected"))
 
 
 @query(f"WITH {LONG}, {MW} SELECT feature, u AS statistic, round(z, 6) AS z, z > 1.959963984540054 AS drift_detected FROM mw")
 def mann_whitney(spark: SparkSession, folder: str) -> DataFrame:
-    test = drift.mann_whitney(ranked(spark, folder))
+    test = drift.mann_whitney(drift.rank_sums(ranked(spark, folder)))
     return test.select("feature", "statistic", F.round("z", 6).alias("z"), (F.col("p_value") < 0.05).alias("drift_detected"))
 
 

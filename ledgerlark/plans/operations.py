@@ -14,7 +14,7 @@ from ledgerlark.operators import oplog
 from ledgerlark.operators.experiments import assign_variant
 from ledgerlark.plans.registry import query
 from ledgerlark.plans.views import AB_EVENTS, ACCOUNTS, bin_sql
-from ledgerlark.session import run_dir
+from ledgerlark.session import materialise, run_dir
 from ledgerlark.sources import tables
 from ledgerlark.sources.accounts import EXPERIMENTS, accounts
 from ledgerlark.sources.tables import table
@@ -144,7 +144,8 @@ def stream_drift(spark: SparkSession, folder: str) -> DataFrame:
     cut = day(DRIFT_CUT)
     past = table(spark, folder, "events").withColumn("ts", as_utc("ts"))
     reference = jobs.reference_bins(shifted(past).where(ts < cut), ["event_type"], "value")
-    ranges = reference.select("event_type", "low", "high").distinct()
+    reference = materialise(reference)  # ten rows per event type, read by the stream and by the verdicts
+    ranges = reference.where("bin = 0").select("event_type", "start", "stop", "width")
     stream = shifted(jobs.table_stream(spark, folder, "events", "ts")).where(ts >= cut)
     counts = jobs.run_updates(
         jobs.drift_bin_counts(stream, ranges, ["event_type"], "value"), "stream-drift", ["window_start", "event_type", "bin"]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlark.functions import contact, rules
@@ -102,7 +102,7 @@ def with_segment(df: DataFrame) -> DataFrame:
     )
 
 
-def as_of() :
+def as_of() -> Column:
     return F.lit(AS_OF_TS).cast("timestamp_ntz")
 
 
@@ -188,10 +188,9 @@ def channel_recommendation(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"WITH {SLOTS} SELECT * FROM top_slots")
 def contact_slots_top5(spark: SparkSession, folder: str) -> DataFrame:
-    """The five best coming slots per account, ranked inside the row."""
-    p = contact.with_profile_defaults(accounts(spark, folder))
-    slots = contact.next_slots(F.col("employment_status"), F.col("days_overdue"), as_of())
-    return p.select("customer_id", F.posexplode(slots).alias("pos", "s")).select(
+    """The five best coming slots per account, ranked without a shuffle."""
+    p = contact.with_timing(contact.with_profile_defaults(accounts(spark, folder)), as_of())
+    return p.select("customer_id", F.posexplode("next_best_times").alias("pos", "s")).select(
         "customer_id", (F.col("pos") + 1).alias("slot_rank"), "s.slot_ts", "s.day", "s.hour", F.round("s.score", 4).alias("score")
     )
 
@@ -272,8 +271,8 @@ def recommendation_errors(spark: SparkSession, folder: str) -> DataFrame:
 @query(f"""
 WITH {ACCOUNTS}
 SELECT customer_id, round(debt_amount / nullif(annual_income, 0), 6) AS debt_ratio,
-  round(debt_amount / nullif(contact_attempts, 0), 6) AS debt_per_attempt,
-  round(least(greatest(debt_amount, 5000.0::DOUBLE), 40000.0::DOUBLE), 4) AS clipped_debt,
+  round(debt_amount / nullif(contact_attempts, 0), 9) AS debt_per_attempt,
+  round(CASE WHEN debt_amount IS NOT NULL THEN least(greatest(debt_amount, 5000.0::DOUBLE), 40000.0::DOUBLE) END, 4) AS clipped_debt,
   round(CASE WHEN annual_income > 0 THEN log10(annual_income) END, 6) AS log_income,
   CASE WHEN c_custkey % 2 = 0 THEN 'even' ELSE 'odd' END AS parity
 FROM accounts""")
@@ -281,7 +280,7 @@ def derived_ratios(spark: SparkSession, folder: str) -> DataFrame:
     return accounts(spark, folder).select(
         "customer_id",
         F.round(rules.ratio("debt_amount", "annual_income"), 6).alias("debt_ratio"),
-        F.round(rules.ratio("debt_amount", "contact_attempts"), 6).alias("debt_per_attempt"),
+        F.round(rules.ratio("debt_amount", "contact_attempts"), 9).alias("debt_per_attempt"),
         F.round(rules.clip("debt_amount", 5000.0, 40000.0), 4).alias("clipped_debt"),
         F.round(rules.log10_positive("annual_income"), 6).alias("log_income"),
         F.when(F.col("c_custkey") % 2 == 0, "even").otherwise("odd").alias("parity"),

@@ -164,12 +164,12 @@ WITH {ACCOUNTS}, q AS (
   FROM accounts GROUP BY 1),
 f AS (SELECT a.payment_status, debt_amount, q25, median, q75,
   debt_amount >= q25 - 1.5::DOUBLE * (q75 - q25) AND debt_amount <= q75 + 1.5::DOUBLE * (q75 - q25) AS inside FROM accounts a JOIN q USING (payment_status) WHERE debt_amount IS NOT NULL)
-SELECT payment_status, round(q25, 4) AS q25, round(median, 4) AS median, round(q75, 4) AS q75,
-  round(min(CASE WHEN inside THEN debt_amount END), 4) AS whisker_low, round(max(CASE WHEN inside THEN debt_amount END), 4) AS whisker_high,
+SELECT payment_status, round(q25, 7) AS q25, round(median, 7) AS median, round(q75, 7) AS q75,
+  round(min(CASE WHEN inside THEN debt_amount END), 7) AS whisker_low, round(max(CASE WHEN inside THEN debt_amount END), 7) AS whisker_high,
   CAST(sum(CASE WHEN inside THEN 0 ELSE 1 END) AS BIGINT) AS n_outside
 FROM f GROUP BY payment_status, q25, median, q75""")
 def boxplot_stats(spark: SparkSession, folder: str) -> DataFrame:
-    return profile.boxplot_stats(accounts(spark, folder), "debt_amount", "payment_status")
+    return profile.boxplot_stats(accounts(spark, folder), "debt_amount", "payment_status", digits=7)
 
 
 def _histogram(column: str) -> str:

@@ -23,6 +23,11 @@ SCALED = ["annual_income", "debt_amount", "credit_score", "days_overdue"]
 LEADING = ["credit_score", "debt_amount", "annual_income", "days_overdue", "contact_attempts", "response_rate"]
 
 
+def digits_of(name: str) -> int:
+    """Enough digits that no rounding tie can occur."""
+    return {"ratio_1_2": 6, "ratio_3_4": 6, "feature_mean": 7}.get(name, 4)
+
+
 def rounded(columns, digits: int = 6):
     return [F.round(c, digits).alias(c) for c in columns]
 
@@ -144,10 +149,11 @@ def label_encode(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+LEADING_LIST = f"list_filter([{', '.join(LEADING)}], lambda x: x IS NOT NULL)"
 STATISTICS_SQL = f"""
-  round({' + '.join(LEADING)}, 4) AS feature_sum, round(({' + '.join(LEADING)}) / 6, 4) AS feature_mean,
-  round(list_aggregate([{', '.join(LEADING)}], 'stddev_samp'), 4) AS feature_std,
-  round(greatest({', '.join(LEADING)}), 4) AS feature_max, round(least({', '.join(LEADING)}), 4) AS feature_min"""
+  round(list_sum({LEADING_LIST}), 4) AS feature_sum, round(list_sum({LEADING_LIST}) / len({LEADING_LIST}), 7) AS feature_mean,
+  round(list_aggregate({LEADING_LIST}, 'stddev_samp'), 4) AS feature_std,
+  round(list_max({LEADING_LIST}), 4) AS feature_max, round(list_min({LEADING_LIST}), 4) AS feature_min"""
 PRODUCTS_SQL = """
   round(debt_amount / (credit_score + 0.001::DOUBLE), 6) AS ratio_1_2, round(days_overdue / (annual_income + 0.001::DOUBLE), 6) AS ratio_3_4,
   round(credit_score * debt_amount, 4) AS product_1_2, round(annual_income * days_overdue, 4) AS product_3_4"""
@@ -165,7 +171,7 @@ FLAG_LIMITS = f"limits AS (SELECT {_each('quantile_cont({c}, 0.25) AS {c}_1, qua
 def row_stats(spark: SparkSession, folder: str) -> DataFrame:
     added = {**ft.leading_products(LEADING), **ft.statistics_of(LEADING), **ft.leading_powers(LEADING)}
     return accounts(spark, folder).select(
-        "customer_id", *[F.round(c, 6 if name.startswith("ratio") else 4).alias(name) for name, c in added.items()]
+        "customer_id", *[F.round(c, digits_of(name)).alias(name) for name, c in added.items()]
     )
 
 
@@ -195,7 +201,7 @@ def domain_features(spark: SparkSession, folder: str) -> DataFrame:
     flags = list(model.flags())
     out = model.transform(df)
     return out.select(
-        *[c if c in flags else F.round(c, 6 if c.startswith("ratio") else 4).alias(c) for c in out.columns]
+        *[c if c in flags else F.round(c, digits_of(c)).alias(c) for c in out.columns]
     )
 
 

@@ -12,12 +12,13 @@ from pyspark.ml import Model
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.window import Window
 
 from ledgerlark.functions.clock import as_utc
 from ledgerlark.operators.drift import PSI_FLOOR, PSI_LIMIT
 from ledgerlark.operators.models import score
 from ledgerlark.operators.oplog import audit_rows, timing_rollup
-from ledgerlark.operators.profile import bin_of
+from ledgerlark.operators.profile import bin_of, bin_ranges
 from ledgerlark.session import run_dir
 
 
@@ -60,15 +61,16 @@ def run_append(stream: DataFrame, path: str) -> DataFrame:
 
 
 def reference_bins(reference: DataFrame, keys: Sequence[str], value: str, bins: int = 10) -> DataFrame:
-    """`(keys..., low, high, bin, p_ref)` of a static reference, every bin present; ten rows per key."""
-    ranges = reference.groupBy(*keys).agg(F.min(value).alias("low"), F.max(value).alias("high"), F.count(value).alias("size"))
-    binned = reference.join(F.broadcast(ranges), list(keys)).select(
-        *keys, bin_of(F.col(value), F.col("low"), F.col("high"), bins).alias("bin")
+    """`(keys..., start, stop, width, bin, p_ref)` of a static reference, every bin present; ten rows per key."""
+    ranges = bin_ranges(reference, keys, bins, value)
+    # one row per key
+    binned = reference.join(F.broadcast(ranges), list(keys)).groupBy(*keys, bin_of(value, bins).alias("bin")).agg(
+        F.count(F.lit(1)).alias("n")
     )
-    counted = binned.groupBy(*keys, "bin").agg(F.count(F.lit(1)).alias("n"))
     grid = ranges.select("*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    share = F.coalesce(F.col("n"), F.lit(0)) / F.col("size")
-    return grid.join(counted, [*keys, "bin"], "left").select(*keys, "low", "high", "bin", share.alias("p_ref"))
+    filled = grid.join(binned, [*keys, "bin"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    share = F.col("n") / F.sum("n").over(Window.partitionBy(*keys))
+    return filled.select(*keys, "start", "stop", "width", "bin", share.alias("p_ref"))
 
 
 def drift_bin_counts(
@@ -77,10 +79,10 @@ def drift_bin_counts(
 ) -> DataFrame:
     """Counts per window, key and bin; values outside the reference range count in bin -1.
 
-    `ranges` is `(keys..., low, high)`, one row per key.
+    `ranges` is `(keys..., start, stop, width)`, one row per key.
     """
     joined = stream.withWatermark(ts, late).join(F.broadcast(ranges), list(keys))
-    at = F.coalesce(bin_of(F.col(value), F.col("low"), F.col("high"), bins), F.lit(-1))
+    at = F.coalesce(bin_of(value, bins), F.lit(-1))
     return joined.groupBy(F.window(ts, every).alias("w"), *keys, at.alias("bin")).agg(F.count(F.lit(1)).alias("n")).select(
         F.col("w.start").alias("window_start"), *keys, "bin", "n"
     )
