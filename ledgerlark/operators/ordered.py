@@ -7,15 +7,19 @@ over as many range blocks as it needs. Per-block totals give each block its star
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 from pyspark.sql.window import Window
 
 from ledgerlark.session import materialise
 
 BLOCK = "__block"
+BROADCAST_ROWS = 200_000
 
 
 def present(column: str | Column) -> Column:
@@ -35,16 +39,66 @@ def melt(
     return long.withColumn("value", F.when(~F.isnan("value"), F.col("value")))
 
 
+def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """Written once and counted: broadcast if within the limit, else left for Spark to shuffle."""
+    stored = materialise(df)
+    return F.broadcast(stored) if stored.limit(limit + 1).count() <= limit else stored
+
+
+def _running_sums(keys: Sequence[str], measures: Sequence[str]):
+    """For `mapInArrow` over sorted partitions: sums over earlier rows of the same key in the partition.
+
+    Works batch by batch and remembers the last key only, so memory does not grow with the partition.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last_key, last = None, dict.fromkeys(measures, 0)
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            starts = np.zeros(batch.num_rows, dtype=bool)
+            starts[0] = True
+            for key in keys:
+                codes = batch.column(key).dictionary_encode(null_encoding="encode").indices.to_numpy()
+                starts[1:] |= codes[1:] != codes[:-1]
+            group = np.cumsum(starts) - 1
+            first_key = tuple(batch.column(k)[0].as_py() for k in keys)
+            added = []
+            for m in measures:
+                values = batch.column(m).to_numpy(zero_copy_only=False)
+                before = np.cumsum(values) - values
+                before = before - before[starts][group]
+                if first_key == last_key:
+                    before[group == 0] += last[m]
+                last[m] = before[-1] + values[-1]
+                added.append(pa.array(before))
+            last_key = tuple(batch.column(k)[-1].as_py() for k in keys)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, *added], names=[*batch.schema.names, *[f"__{m}_local" for m in measures]]
+            )
+
+    return run
+
+
 def prefix_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], measures: Sequence[str]) -> DataFrame:
-    """Add `<m>_before` (sum over earlier rows of the key) and `<m>_total` for each measure `m`.
+    """Add `<m>_before` (sum over earlier rows of the key) and `<m>_total` for each integer measure `m`.
 
-    `(keys, order)` must identify a row, otherwise the order of equal rows is undefined.
+    `(keys, order)` must identify a row, otherwise the order of equal rows is undefined. The rows are
+    shuffled and sorted once; the result is a scan of the written blocks joined with their offsets, so
+    several consumers can read it without sorting again.
     """
+    ready = df.withColumns({m: F.col(m).cast("long") for m in measures}).withColumn(BLOCK, F.lit(0))
+    local = StructType(
+        [*ready.schema.fields, *[StructField(f"__{m}_local", LongType()) for m in measures]]
+    )
     blocks = materialise(
-        df.repartitionByRange(*keys, *order).withColumn(BLOCK, F.spark_partition_id())
+        ready.repartitionByRange(*keys, *order)
+        .sortWithinPartitions(*keys, *order)
+        .withColumn(BLOCK, F.spark_partition_id())
+        .mapInArrow(_running_sums(keys, measures), local)
     )
     sums = blocks.groupBy(*keys, BLOCK).agg(*[F.sum(m).alias(f"__{m}") for m in measures])
-    # one row per (key, block): as many rows as range blocks, whatever the data size
+    # a block holds a contiguous range of keys, so there are at most (keys + blocks) of these rows
     across = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
     earlier = across.orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(
@@ -53,13 +107,7 @@ def prefix_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], measure
         *[F.coalesce(F.sum(f"__{m}").over(earlier), F.lit(0)).alias(f"__{m}_offset") for m in measures],
         *[F.sum(f"__{m}").over(across).alias(f"{m}_total") for m in measures],
     )
-    inside = (
-        Window.partitionBy(*keys, BLOCK).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    local = blocks.select(
-        "*", *[F.coalesce(F.sum(m).over(inside), F.lit(0)).alias(f"__{m}_local") for m in measures]
-    )
-    return local.join(offsets, [*keys, BLOCK]).select(
+    return blocks.join(small_side(offsets), [*keys, BLOCK]).select(
         *df.columns,
         *[(F.col(f"__{m}_offset") + F.col(f"__{m}_local")).alias(f"{m}_before") for m in measures],
         *[f"{m}_total" for m in measures],
