@@ -10,7 +10,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ledgerlark.functions.special import chi2_tail, kolmogorov_tail, normal_two_sided
 from ledgerlark.operators.ordered import melt, prefix_sum, quantiles_of_ranked, quantiles_wide
@@ -214,11 +213,12 @@ def aligned_categories(reference: DataFrame, batch: DataFrame, column: str) -> D
         return df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("category")).agg(F.count(F.lit(1)).alias(name))
 
     both = counted(reference, "n_ref").join(counted(batch, "n_new"), "category", "full").fillna(0, ["n_ref", "n_new"])
-    every = Window.partitionBy(F.lit(0))  # one row per category
-    return both.withColumns(
+    stored = materialise(both)
+    sizes = stored.agg(F.sum("n_ref").alias("ref"), F.sum("n_new").alias("new")).first()
+    return stored.withColumns(
         {
-            "p_ref": F.coalesce(F.try_divide(F.col("n_ref"), F.sum("n_ref").over(every)), F.lit(0.0)),
-            "p_new": F.coalesce(F.try_divide(F.col("n_new"), F.sum("n_new").over(every)), F.lit(0.0)),
+            "p_ref": F.coalesce(F.try_divide(F.col("n_ref"), F.lit(sizes["ref"])), F.lit(0.0)),
+            "p_new": F.coalesce(F.try_divide(F.col("n_new"), F.lit(sizes["new"])), F.lit(0.0)),
         }
     )
 
@@ -228,7 +228,8 @@ def target_chi2(aligned: DataFrame) -> DataFrame:
 
     A category unseen in the reference makes the statistic infinite and the p-value 0.
     """
-    expected = F.col("p_ref") * F.sum("n_new").over(Window.partitionBy(F.lit(0)))
+    new_total = aligned.agg(F.sum("n_new")).first()[0] or 0
+    expected = F.col("p_ref") * F.lit(new_total)
     part = F.when(expected > 0, F.pow(F.col("n_new") - expected, 2) / expected).when(
         F.col("n_new") > 0, F.lit(float("inf"))
     ).otherwise(0.0)

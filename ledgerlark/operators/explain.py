@@ -47,19 +47,29 @@ def linear_attribution(
     return df.select(F.col(row_id).alias("row_id"), F.explode(F.array(*cells)).alias("s")).select("row_id", "s.*")
 
 
-def linear_margins(coefficients: Mapping[str, Mapping[str, float]], intercepts: Mapping[str, float]) -> dict[str, Column]:
-    return {
-        c: sum((F.lit(float(w)) * F.col(f).cast("double") for f, w in weights.items()), F.lit(float(intercepts[c])))
-        for c, weights in coefficients.items()
-    }
+def with_linear_scores(
+    df: DataFrame, coefficients: Mapping[str, Mapping[str, float]], intercepts: Mapping[str, float]
+) -> DataFrame:
+    """Add `class_index` (1-based) and `probability` of a multinomial linear model.
+
+    Margins and exponentials are columns of their own steps, so no later expression repeats their sums.
+    """
+    classes = list(coefficients)
+    margins, powers = [f"__m{i}" for i in range(len(classes))], [f"__e{i}" for i in range(len(classes))]
 
+    def margin(c: str) -> Column:
+        return sum((F.lit(float(w)) * F.col(f).cast("double") for f, w in coefficients[c].items()), F.lit(float(intercepts[c])))
 
-def softmax(margins: Sequence[Column]) -> Column:
-    """Array of probabilities."""
-    largest = F.greatest(*margins)
-    parts = [F.exp(x - largest) for x in margins]
-    total = sum(parts[1:], parts[0])
-    return F.array(*[p / total for p in parts])
+    scored = df.withColumns({m: margin(c) for m, c in zip(margins, classes)}).withColumn("__top", F.greatest(*margins))
+    raised = scored.withColumns({e: F.exp(F.col(m) - F.col("__top")) for e, m in zip(powers, margins)})
+    total = raised.withColumn("__sum", sum((F.col(e) for e in powers[1:]), F.col(powers[0])))
+    index = None
+    for i, m in enumerate(margins):
+        hit = F.col(m) == F.col("__top")
+        index = F.when(hit, i + 1) if index is None else index.when(hit, i + 1)
+    return total.withColumns(
+        {"class_index": index, "probability": F.array(*[F.col(e) / F.col("__sum") for e in powers])}
+    ).drop(*margins, *powers, "__top", "__sum")
 
 
 def importance(shap: DataFrame) -> DataFrame:
@@ -238,13 +248,65 @@ def sampled_shapley(
     points = steps.withColumn("mix", mixed).select("row_id", "draw", "step", "order", *[F.col("mix")[i].alias(f) for i, f in enumerate(names)])
     scored = model.transform(points)
     value = vector_to_array("probability")[class_index]
-    # a path has one row per feature, whatever the data size
-    along = Window.partitionBy("row_id", "draw").orderBy("step")
-    changes = scored.select("row_id", "draw", "step", "order", value.alias("f")).withColumn("change", F.col("f") - F.lag("f").over(along))
-    switched = F.element_at(F.array(*[F.lit(f) for f in names]), F.element_at("order", F.col("step")) + 1)
+    # f(step) counts for the feature switched on last and against the one switched on next; all rows of
+    # an account come out of one task, so they are summed there before the shuffle
+    last, following = F.try_element_at("order", F.col("step")), F.try_element_at("order", F.col("step") + 1)
+    signed = F.array(
+        F.when(F.col("step") > 0, F.struct(last.alias("i"), F.col("f").alias("part"))),
+        F.when(F.col("step") < len(names), F.struct(following.alias("i"), (-F.col("f")).alias("part"))),
+    )
+    parts = scored.select("row_id", "step", "order", value.alias("f")).select("row_id", F.explode(signed).alias("s"))
     return (
-        changes.where(F.col("step") > 0)
-        .select("row_id", switched.alias("feature"), "change")
-        .groupBy("row_id", "feature")
-        .agg(F.avg("change").alias("shap_value"))
+        parts.where(F.col("s").isNotNull())
+        .groupBy("row_id", F.element_at(F.array(*[F.lit(f) for f in names]), F.col("s.i") + 1).alias("feature"))
+        .agg((F.sum("s.part") / permutations).alias("shap_value"))
     )
+
+
+def linear_explanations(
+    df: DataFrame, row_id: str, coefficients: Mapping[str, Mapping[str, float]], intercepts: Mapping[str, float],
+    means: Mapping[str, float], n: int = TOP_FEATURES,
+) -> DataFrame:
+    """The explanation document of every row of a linear model, in one narrow projection.
+
+    `(row_id, class, probability, probabilities map, top_features array)`: the n strongest attributions
+    of the predicted class, strongest first, ties by name.
+    """
+    classes = list(coefficients)
+    names = F.array(*[F.lit(c) for c in classes])
+    scored = with_linear_scores(df, coefficients, intercepts)
+    cells = F.array(
+        *[
+            F.struct(
+                F.lit(f).alias("feature"),
+                (
+                    F.element_at(F.array(*[F.lit(float(coefficients[c][f])) for c in classes]), F.col("class_index"))
+                    * (F.col(f).cast("double") - F.lit(means[f]))
+                ).alias("value"),
+                F.col(f).cast("double").alias("feature_value"),
+            )
+            for f in coefficients[classes[0]]
+        ]
+    )
+    by_strength = F.array_sort(
+        F.transform(cells, lambda e: F.struct((-F.abs(e["value"])).alias("order"), e["feature"].alias("feature"), e.alias("e")))
+    )
+    top = F.transform(
+        F.slice(by_strength, 1, n),
+        lambda s: F.struct(
+            s["feature"].alias("feature"), s["e"]["value"].alias("shap_value"), s["e"]["feature_value"].alias("feature_value"),
+            F.when(s["e"]["value"] > 0, "positive").otherwise("negative").alias("impact"),
+        ),
+    )
+    return scored.select(
+        F.col(row_id).alias("row_id"), F.element_at(names, F.col("class_index")).alias("class"), "probability",
+        F.map_from_arrays(names, F.col("probability")).alias("probabilities"), top.alias("top_features"),
+    )
+
+
+def drivers_of_documents(documents: DataFrame, per_row: int = 3, n: int = 5) -> DataFrame:
+    """`class_drivers` straight from explanation documents: only counts per class and feature are shuffled."""
+    strongest = documents.select("class", F.explode(F.slice("top_features", 1, per_row)).alias("t"))
+    counted = strongest.groupBy("class", "t.impact", "t.feature").agg(F.count(F.lit(1)).alias("n"))
+    order = Window.partitionBy("class", "impact").orderBy(F.desc("n"), "feature")  # one row per feature
+    return counted.withColumn("place", F.row_number().over(order)).where(F.col("place") <= n)

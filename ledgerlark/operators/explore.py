@@ -7,16 +7,16 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ledgerlark.operators.ordered import present
+from ledgerlark.session import materialise
 
 
 def value_counts_share(df: DataFrame, column: str, digits: int = 6) -> DataFrame:
-    """`(column, n, share)`. The window runs over the grouped table, one row per category."""
-    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    share = F.col("n") / F.sum("n").over(Window.partitionBy(F.lit(0)))
-    return counts.select(column, "n", F.round(share, digits).alias("share"))
+    """`(column, n, share)`. The grouped table is written once; only its total comes to the driver."""
+    counts = materialise(df.groupBy(column).agg(F.count(F.lit(1)).alias("n")))
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    return counts.select(column, "n", F.round(F.try_divide(F.col("n"), F.lit(total)), digits).alias("share"))
 
 
 def crosstab(df: DataFrame, row: str, column: str, values: Sequence[str]) -> DataFrame:
@@ -46,8 +46,8 @@ def best_group(rates: DataFrame, group: str) -> DataFrame:
 def correlation_pairs(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:
     """Pearson r of every unordered column pair `(feature_1, feature_2, r)` from one pass of sums.
 
-    Columns are shifted by nothing and summed as they are after pairwise deletion; a constant
-    column gives NULL instead of an error.
+    Rows missing either value are left out pair by pair; a constant column gives NULL instead of an
+    error. One aggregate per pair suits tables up to some dozens of columns.
     """
     aggregates = []
     for a, b in combinations(columns, 2):

@@ -19,6 +19,7 @@ from pyspark.sql.window import Window
 
 from ledgerlark.operators import metrics as m
 from ledgerlark.operators.features import class_weights, ordinal_codes, ordinal_encode
+from ledgerlark.operators.ordered import small_side
 from ledgerlark.session import materialise
 
 DEFAULT_CONFIDENCE = 0.5
@@ -47,8 +48,7 @@ def training_frame(df: DataFrame, features: Sequence[str], target: str, id_colum
     ).where(F.col(target).isNotNull())
     coded = ordinal_encode(narrow, ordinal_codes(narrow, target), target, "label")
     weights = class_weights(narrow, target).select(target, "weight")
-    # one row per class
-    joined = coded.join(F.broadcast(weights), target)
+    joined = coded.join(small_side(weights), target)
     assembled = VectorAssembler(inputCols=list(features), outputCol="features").transform(joined)
     return materialise(assembled.select("id", "label", "weight", "features", target))
 
@@ -134,6 +134,18 @@ def evaluate(scored: DataFrame) -> DataFrame:
     return m.model_metrics(scored.withColumn("label", F.col("label").cast("int")))
 
 
+def validate(
+    builds: Mapping[str, Estimator], train: DataFrame, test: DataFrame, parallelism: int = PARALLEL_FITS
+) -> DataFrame:
+    """Test metrics of several models, one row each; all are scored into one table and measured together."""
+    fitted = _parallel(lambda name: builds[name].fit(train), list(builds), parallelism, train)
+    out = None
+    for name, model in zip(builds, fitted):
+        part = score(model, test).withColumn("model", F.lit(name))
+        out = part if out is None else out.unionByName(part)
+    return evaluate(materialise(out))
+
+
 def fit_folds(
     df: DataFrame,
     builds: Mapping[str, Callable[[DataFrame], Estimator]],

@@ -151,13 +151,14 @@ def nearest(queries: DataFrame, donors: DataFrame, k: int, id_column: str = "id"
 def neighbours_of(queries: DataFrame, donors: DataFrame, k: int, id_column: str, vector: str, same_table: bool = False) -> DataFrame:
     """`(id, neighbour_id, distance, rank)`; with `same_table` a row is not its own neighbour."""
     found = nearest(queries, donors, k + 1 if same_table else k, id_column, vector)
+    # at most k + 1 entries per distinct vector, so rows of a hot vector are joined to one short list
+    listed = found.groupBy("query_v").agg(F.array_sort(F.collect_list(F.struct("rank", "neighbour_id", "distance"))).alias("near"))
     ids = queries.select(F.col(id_column).alias("id"), F.col(vector).cast("array<double>").alias("query_v"))
-    joined = ids.join(found, "query_v")
-    if not same_table:
-        return joined.select("id", "neighbour_id", "distance", "rank")
-    rank = F.row_number().over(Window.partitionBy("id").orderBy("distance", "neighbour_id"))
-    others = joined.where(F.col("id") != F.col("neighbour_id")).withColumn("rank", rank)
-    return others.where(F.col("rank") <= k).select("id", "neighbour_id", "distance", "rank")
+    joined = ids.join(listed, "query_v")
+    near = F.filter("near", lambda s: s["neighbour_id"] != F.col("id")) if same_table else F.col("near")
+    return joined.select("id", F.posexplode(F.slice(near, 1, k)).alias("pos", "s")).select(
+        "id", "s.neighbour_id", "s.distance", (F.col("pos") + 1).alias("rank")
+    )
 
 
 def knn_impute(df: DataFrame, id_column: str, predictors: Sequence[str], target: str, k: int = 5) -> DataFrame:

@@ -24,19 +24,26 @@ def _missing(df: DataFrame, name: str) -> Column:
     return null | F.isnan(name) if isinstance(field.dataType, (DoubleType, FloatType)) else null
 
 
-def column_profile(df: DataFrame) -> DataFrame:
+def column_profile(df: DataFrame, rsd: float | None = None) -> DataFrame:
     """`(column, dtype, missing_count, missing_pct, unique_values, cardinality_ratio)`.
 
     One scan: every cell becomes `(column, text)`, counted before the shuffle, so a value that fills
-    a third of a column travels as one row per task.
+    a third of a column travels as one row per task. With `rsd`, distinct values are estimated within
+    that relative error by mergeable sketches instead, and no value is shuffled at all.
     """
     names = df.columns
     cells = df.select(*[F.when(~_missing(df, c), F.col(c).cast("string")).alias(c) for c in names])
-    counted = value_counts(cells.unpivot([], names, "column", "value"), ["column"])
+    long = cells.unpivot([], names, "column", "value")
+    if rsd is None:
+        counted = value_counts(long, ["column"])
+        distinct = F.count("value")
+    else:
+        counted = long.withColumn("n", F.lit(1).cast("long"))
+        distinct = F.approx_count_distinct("value", rsd)
     summary = counted.groupBy("column").agg(
         F.sum("n").alias("total"),
         F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("missing_count"),
-        F.count("value").alias("unique_values"),
+        distinct.alias("unique_values"),
     )
     types = F.create_map(*[F.lit(x) for f in df.schema.fields for x in (f.name, f.dataType.simpleString())])
     return summary.select(

@@ -60,13 +60,10 @@ def shap_long(spark: SparkSession, folder: str) -> DataFrame:
     return ex.linear_attribution(df, "customer_id", COEFFICIENTS, ex.column_means(df, FEATURES))
 
 
-def predicted(spark: SparkSession, folder: str) -> DataFrame:
-    """`(row_id, class, probability array, probabilities map)` of the given linear model."""
-    margins = ex.linear_margins(COEFFICIENTS, INTERCEPTS)
-    names = F.array(*[F.lit(c) for c in CLASSES])
-    df = ready(spark, folder).select(F.col("customer_id").alias("row_id"), ex.softmax(list(margins.values())).alias("probability"))
-    at = F.array_position("probability", F.array_max("probability")).cast("int")
-    return df.select("row_id", F.element_at(names, at).alias("class"), "probability", F.map_from_arrays(names, F.col("probability")).alias("probabilities"))
+def documents(spark: SparkSession, folder: str, n: int = 3) -> DataFrame:
+    """Explanation documents of the given linear model."""
+    df = ready(spark, folder)
+    return ex.linear_explanations(df, "customer_id", COEFFICIENTS, INTERCEPTS, ex.column_means(df, FEATURES), n)
 
 
 @query(f"WITH {SHAP} SELECT row_id, class, feature, round(shap_value, 6) AS shap_value, round(feature_value, 6) AS feature_value FROM shap")
@@ -159,10 +156,10 @@ SELECT row_id, class, round(greatest(p0, p1, p2), 6) AS confidence, CAST(place A
   CASE WHEN shap_value > 0 THEN 'positive' ELSE 'negative' END AS impact FROM placed JOIN predicted USING (row_id, class) WHERE place <= 3""")
 def top_features_per_row(spark: SparkSession, folder: str) -> DataFrame:
     """The explanation document of every row, flattened to its strongest features for the predicted class."""
-    docs = ex.explanation_documents(ex.top_features(shap_long(spark, folder), 3), predicted(spark, folder))
-    return docs.select("row_id", "class", "probabilities", F.explode("top_features").alias("t")).select(
+    return documents(spark, folder).select("row_id", "class", "probabilities", F.posexplode("top_features").alias("pos", "t")).select(
         "row_id", "class", F.round(F.array_max(F.map_values("probabilities")), 6).alias("confidence"),
-        "t.place", "t.feature", F.round("t.shap_value", 6).alias("shap_value"), F.round("t.feature_value", 6).alias("feature_value"), "t.impact",
+        (F.col("pos") + 1).alias("place"), "t.feature", F.round("t.shap_value", 6).alias("shap_value"),
+        F.round("t.feature_value", 6).alias("feature_value"), "t.impact",
     )
 
 
@@ -172,8 +169,7 @@ c AS (SELECT class, CASE WHEN shap_value > 0 THEN 'positive' ELSE 'negative' END
 r AS (SELECT *, row_number() OVER (PARTITION BY class, impact ORDER BY n DESC, feature) AS place FROM c)
 SELECT class, impact, feature, n, CAST(place AS INTEGER) AS place FROM r WHERE place <= 5""")
 def class_drivers(spark: SparkSession, folder: str) -> DataFrame:
-    top = ex.top_features(shap_long(spark, folder), 3)
-    return ex.class_drivers(top, predicted(spark, folder).select("row_id", "class"))
+    return ex.drivers_of_documents(documents(spark, folder))
 
 
 @query(f"""
@@ -181,7 +177,7 @@ WITH {SHAP}, {PROBS}
 SELECT round(avg(greatest(p0, p1, p2)), 6) AS average_confidence, round(stddev_pop(greatest(p0, p1, p2)), 6) AS confidence_std,
   CAST(sum(CASE WHEN greatest(p0, p1, p2) > 0.8 THEN 1 ELSE 0 END) AS BIGINT) AS high_confidence_predictions, count(*) AS n FROM predicted""")
 def explanation_confidence(spark: SparkSession, folder: str) -> DataFrame:
-    summary = ex.confidence_summary(predicted(spark, folder))
+    summary = ex.confidence_summary(documents(spark, folder))
     return summary.withColumns({c: F.round(c, 6) for c in ("average_confidence", "confidence_std")})
 
 
@@ -198,10 +194,10 @@ def explanation_report(spark: SparkSession, folder: str) -> DataFrame:
     overall = ex.importance(shap).select(
         F.lit("global").alias("section"), F.lit("all").alias("key"), order.alias("place"), F.col("feature").alias("item"), F.round("importance", 6).alias("value")
     )
-    sample = hash_sample(predicted(spark, folder), "row_id", 10)
-    docs = ex.explanation_documents(ex.top_features(shap, 3), sample).select("row_id", F.explode("top_features").alias("t"))
-    rows = docs.select(
-        F.lit("sample").alias("section"), F.col("row_id").alias("key"), "t.place", F.col("t.feature").alias("item"), F.round("t.shap_value", 6).alias("value")
+    sample = hash_sample(documents(spark, folder), "row_id", 10)
+    rows = sample.select("row_id", F.posexplode("top_features").alias("pos", "t")).select(
+        F.lit("sample").alias("section"), F.col("row_id").alias("key"), (F.col("pos") + 1).alias("place"),
+        F.col("t.feature").alias("item"), F.round("t.shap_value", 6).alias("value"),
     )
     return overall.unionByName(rows)
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ledgerlark.operators import features as ft
 from ledgerlark.operators import models as ml
 from ledgerlark.operators import neighbours as nn
+from ledgerlark.operators import ranking
 from ledgerlark.plans.registry import query
 from ledgerlark.plans.views import ACCOUNTS
 from ledgerlark.session import materialise, run_dir
@@ -127,6 +128,25 @@ def gbt_scores(spark: SparkSession, folder: str) -> DataFrame:
     return _scores(spark, folder, lambda train: ml.BoostedPerClass(3, maxIter=10, maxDepth=4), "boosted_trees")
 
 
+@query()
+def model_comparison(spark: SparkSession, folder: str) -> DataFrame:
+    """Three models trained on rebalanced rows, validated on one test part, ranked, and the choice marked."""
+    train, test = _split(_frame(spark, folder))
+    flat = train.select("id", "payment_status", vector_to_array("features").alias("x")).select(
+        "id", "payment_status", *[F.col("x")[i].alias(c) for i, c in enumerate(PREDICTORS)]
+    )
+    balanced = ml.training_frame(nn.smote(flat, "payment_status", "id", PREDICTORS), PREDICTORS, "payment_status", "id")
+    train, test = ml.scaled(balanced, test)
+    builds = {
+        "random_forest": ml.random_forest(numTrees=20, maxDepth=6),
+        "boosted_trees": ml.BoostedPerClass(3, maxIter=5, maxDepth=3),
+        "logistic": ml.logistic(train.count(), maxIter=100),
+    }
+    scored = ml.validate(builds, train, test)
+    ranked = ranking.rank_models(scored)
+    return ranked.withColumn("selection_score", ranking.selection_score())
+
+
 @query()
 def param_search(spark: SparkSession, folder: str) -> DataFrame:
     """Four seeded draws of the logistic grid, three stratified folds each."""

@@ -17,7 +17,7 @@ EMPLOYMENT = {
     "HOUSEHOLD": "retired",
     "MACHINERY": "student",
 }
-DEBT_TYPES = {"1": "credit_card", "2": "personal_loan", "3": "auto_loan", "4": "mortgage", "5": "medical"}
+DEBT_TYPES = {1: "credit_card", 2: "personal_loan", 3: "auto_loan", 4: "mortgage", 5: "medical"}
 NUMERIC_FEATURES = [
     "customer_age",
     "annual_income",
@@ -35,22 +35,27 @@ NUMERIC_FEATURES = [
 def accounts(spark: SparkSession, folder: str, as_of: str = AS_OF) -> DataFrame:
     """One row per customer: its latest order plus order shares.
 
-    The latest order is a struct maximum, so orders are combined before the shuffle and a customer
-    with very many orders costs one row per task.
+    The latest order is found by one number, day and order key (keys below 2^47), so all aggregate
+    buffers are plain numbers: rows are combined in a hash map before the shuffle, without a sort, and
+    a customer with very many orders costs one row per task.
     """
-    orders = table(spark, folder, "orders")
+    orders = table(spark, folder, "orders").withColumn(
+        "recency", F.unix_date(F.col("o_orderdate").cast("date")).cast("long") * (1 << 47) + F.col("o_orderkey")
+    )
 
     def share(status: str):
         return F.avg(F.when(F.col("o_orderstatus") == status, 1.0).otherwise(0.0))
 
     history = orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
-        F.max(F.struct("o_orderdate", "o_orderkey", "o_totalprice", "o_orderpriority")).alias("latest"),
+        F.max("o_orderdate").alias("latest_date"),
+        F.max_by("o_totalprice", "recency").alias("latest_price"),
+        F.max_by(F.substring("o_orderpriority", 1, 1).cast("int"), "recency").alias("latest_priority"),
         F.count(F.lit(1)).cast("double").alias("attempts"),
         share("F").alias("history"),
         share("O").alias("response"),
         share("P").alias("success"),
     )
-    days = F.datediff(F.lit(as_of).cast("date"), F.col("latest.o_orderdate").cast("date")).cast("double")
+    days = F.datediff(F.lit(as_of).cast("date"), F.col("latest_date").cast("date")).cast("double")
     view = (
         table(spark, folder, "customer")
         .join(history, "c_custkey", "left")
@@ -62,8 +67,8 @@ def accounts(spark: SparkSession, folder: str, as_of: str = AS_OF) -> DataFrame:
             (F.lit(15000.0) + (F.col("c_acctbal") + 1000.0) * 12.0).alias("annual_income"),
             pick("c_mktsegment", EMPLOYMENT).alias("employment_status"),
             (F.lit(300) + (F.col("c_custkey") * 53) % 551).cast("double").alias("credit_score"),
-            (F.col("latest.o_totalprice") / 10.0).alias("debt_amount"),
-            pick(F.substring("latest.o_orderpriority", 1, 1), DEBT_TYPES).alias("debt_type"),
+            (F.col("latest_price") / 10.0).alias("debt_amount"),
+            pick("latest_priority", DEBT_TYPES).alias("debt_type"),
             F.greatest(F.least(days, F.lit(365.0)), F.lit(1.0)).alias("days_overdue"),
             F.coalesce("history", F.lit(0.0)).alias("payment_history_score"),
             F.coalesce("attempts", F.lit(0.0)).alias("contact_attempts"),

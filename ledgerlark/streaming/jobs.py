@@ -18,6 +18,7 @@ from ledgerlark.functions.clock import as_utc
 from ledgerlark.operators.drift import PSI_FLOOR, PSI_LIMIT
 from ledgerlark.operators.models import score
 from ledgerlark.operators.oplog import audit_rows, timing_rollup
+from ledgerlark.operators.ordered import small_side
 from ledgerlark.operators.profile import bin_of, bin_ranges
 from ledgerlark.session import run_dir
 
@@ -62,9 +63,8 @@ def run_append(stream: DataFrame, path: str) -> DataFrame:
 
 def reference_bins(reference: DataFrame, keys: Sequence[str], value: str, bins: int = 10) -> DataFrame:
     """`(keys..., start, stop, width, bin, p_ref)` of a static reference, every bin present; ten rows per key."""
-    ranges = bin_ranges(reference, keys, bins, value)
-    # one row per key
-    binned = reference.join(F.broadcast(ranges), list(keys)).groupBy(*keys, bin_of(value, bins).alias("bin")).agg(
+    ranges = small_side(bin_ranges(reference, keys, bins, value))
+    binned = reference.join(ranges, list(keys)).groupBy(*keys, bin_of(value, bins).alias("bin")).agg(
         F.count(F.lit(1)).alias("n")
     )
     grid = ranges.select("*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
@@ -81,7 +81,7 @@ def drift_bin_counts(
 
     `ranges` is `(keys..., start, stop, width)`, one row per key.
     """
-    joined = stream.withWatermark(ts, late).join(F.broadcast(ranges), list(keys))
+    joined = stream.withWatermark(ts, late).join(small_side(ranges), list(keys))
     at = F.coalesce(bin_of(value, bins), F.lit(-1))
     return joined.groupBy(F.window(ts, every).alias("w"), *keys, at.alias("bin")).agg(F.count(F.lit(1)).alias("n")).select(
         F.col("w.start").alias("window_start"), *keys, "bin", "n"

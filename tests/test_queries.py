@@ -11,7 +11,7 @@ import __spark_entry__ as entry_point
 from compare import connect, differences
 
 QUERIES, ORACLE = entry_point.queries(), entry_point.oracle_sql()
-SLOW = {"rf_scores", "gbt_scores", "param_search", "cv_metrics", "fitted_transforms"}
+SLOW = {"rf_scores", "gbt_scores", "param_search", "model_comparison", "cv_metrics", "fitted_transforms"}
 
 
 @pytest.fixture(scope="module")
