@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlark.functions.rules import pick
 from ledgerlark.functions.special import chi2_tail, kolmogorov_tail, normal_two_sided
 from ledgerlark.operators.ordered import melt, prefix_sum, quantiles_of_ranked, quantiles_wide
 from ledgerlark.operators.profile import bin_of, bin_ranges
@@ -50,34 +51,49 @@ def ecdf_ranks(ranked: DataFrame) -> DataFrame:
     )
 
 
-def _side(name: str) -> Column:
-    return F.col(f"n_{name}")
+def side_stats(ranked: DataFrame) -> DataFrame:
+    """Moments and quartiles of both sides from their counts, one row per feature and side.
 
-
-def side_stats(ranked: DataFrame, side: str) -> DataFrame:
-    """Moments and quartiles of one side (`ref` or `new`) from its counts.
-
-    The reference side has the sample standard deviation, the new side the population one, as drift
-    reports do; both are returned under their own name.
+    Both sides are summed in the same passes. Drift reports use the sample standard deviation for the
+    reference and the population one for the new side; both are returned under their own name.
     """
-    n = _side(side)
-    present = ranked.where(n > 0)
-    first = present.groupBy("feature").agg(
-        F.sum(n).alias("size"),
-        (F.sum(n * F.col("value")) / F.sum(n)).alias("mean"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
+    sides, v = {"ref": "reference", "new": "new"}, F.col("value")
+    first = ranked.groupBy("feature").agg(
+        *[
+            c
+            for s in sides
+            for c in (
+                F.sum(f"n_{s}").alias(f"size_{s}"),
+                F.try_divide(F.sum(F.col(f"n_{s}") * v), F.sum(f"n_{s}")).alias(f"mean_{s}"),
+                F.min(F.when(F.col(f"n_{s}") > 0, v)).alias(f"min_{s}"),
+                F.max(F.when(F.col(f"n_{s}") > 0, v)).alias(f"max_{s}"),
+            )
+        ]
     )
     # one row per feature
-    away = F.col("value") - F.col("mean")
-    by = ["feature", "size", "mean", "min", "max"]
-    central = present.join(F.broadcast(first), "feature").groupBy(*by).agg(
-        *[F.sum(n * F.pow(away, k)).alias(f"m{k}") for k in (2, 3, 4)]
-    )
-    size, m2 = F.col("size"), F.col("m2") / F.col("size")
+    centred = ranked.join(F.broadcast(first), "feature").withColumns({f"away_{s}": v - F.col(f"mean_{s}") for s in sides})
+    wide = centred.groupBy(*first.columns).agg(
+        *[
+            F.sum(F.col(f"n_{s}") * F.pow(f"away_{s}", F.lit(k))).alias(f"m{k}_{s}")
+            for s in sides
+            for k in (2, 3, 4)
+        ]
+    )
+    parts = ("size", "mean", "min", "max", "m2", "m3", "m4")
+    stacked = wide.select(
+        "feature",
+        F.explode(
+            F.array(*[F.struct(F.lit(s).alias("key"), *[F.col(f"{c}_{s}").alias(c) for c in parts]) for s in sides])
+        ).alias("s"),
+    ).select("feature", "s.*")
     names = {0.25: "q25", 0.5: "median", 0.75: "q75"}
-    wide = quantiles_wide(quantiles_of_ranked(ranked, ["feature"], list(names), f"n_{side}"), ["feature"], names)
-    return central.join(wide, "feature").select(
+    quartiles = None
+    for s in sides:
+        one = quantiles_of_ranked(ranked, ["feature"], list(names), f"n_{s}").withColumn("key", F.lit(s))
+        quartiles = one if quartiles is None else quartiles.unionByName(one)
+    size, m2 = F.col("size"), F.try_divide(F.col("m2"), F.col("size"))
+    return stacked.join(quantiles_wide(quartiles, ["feature", "key"], names), ["feature", "key"]).select(
+        pick("key", sides).alias("side"),
         "feature",
         size.alias("n"),
         "mean",

@@ -41,7 +41,8 @@ PARALLEL_FITS = 4
 def training_frame(df: DataFrame, features: Sequence[str], target: str, id_column: str) -> DataFrame:
     """`(id, label, weight, features vector, <target>)`; labels in alphabetical order, balanced class weights.
 
-    Materialised once: every fit, fold and score of a run reads this table instead of its sources.
+    Materialised once: every fit, fold and score of a run reads this table instead of its sources. It is
+    dealt out over all shuffle partitions, as iterative fits pass over it many times.
     """
     narrow = df.select(
         F.col(id_column).alias("id"), target, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in features]
@@ -50,7 +51,14 @@ def training_frame(df: DataFrame, features: Sequence[str], target: str, id_colum
     weights = class_weights(narrow, target).select(target, "weight")
     joined = coded.join(small_side(weights), target)
     assembled = VectorAssembler(inputCols=list(features), outputCol="features").transform(joined)
-    return materialise(assembled.select("id", "label", "weight", "features", target))
+    return materialise(dealt(assembled.select("id", "label", "weight", "features", target)))
+
+
+def dealt(df: DataFrame, key: str = "id") -> DataFrame:
+    """Rows dealt out by key over all shuffle partitions, for iterative fits after a step that left few."""
+    session = df.sparkSession
+    parts = max(int(session.conf.get("spark.sql.shuffle.partitions")), session.sparkContext.defaultParallelism)
+    return df.repartition(parts, key)
 
 
 def scaled(train: DataFrame, *others: DataFrame) -> list[DataFrame]:
@@ -162,7 +170,7 @@ def fit_folds(
 
     def prepare(fold: int) -> tuple[DataFrame, DataFrame]:
         train = df.where(F.col("fold") < fold) if expanding else df.where(F.col("fold") != fold)
-        return tuple(scaled(train, df.where(F.col("fold") == fold)))
+        return tuple(scaled(dealt(train), df.where(F.col("fold") == fold)))
 
     parts = dict(zip(folds, _parallel(prepare, list(folds), parallelism, df)))
     tasks = [(name, fold) for name in builds for fold in folds]

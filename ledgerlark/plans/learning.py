@@ -103,7 +103,7 @@ def _frame(spark: SparkSession, folder: str) -> DataFrame:
 
 def _split(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     parts = ft.stratified_split(df, "label", "id")
-    return parts.where("part = 'train'").drop("part"), parts.where("part = 'test'").drop("part")
+    return ml.dealt(parts.where("part = 'train'").drop("part")), parts.where("part = 'test'").drop("part")
 
 
 def _scores(spark: SparkSession, folder: str, build, name: str) -> DataFrame:

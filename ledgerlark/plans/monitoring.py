@@ -77,10 +77,7 @@ SELECT CASE WHEN is_ref THEN 'reference' ELSE 'new' END AS side, feature, count(
   round(avg(power(value - mu, 3)) / power(var_pop(value), 1.5), 4) AS skewness, round(kurtosis_pop(value), 4) AS kurtosis
 FROM long JOIN m USING (feature, is_ref) GROUP BY 1, 2""")
 def feature_stats(spark: SparkSession, folder: str) -> DataFrame:
-    r = ranked(spark, folder)
-    both = drift.side_stats(r, "ref").withColumn("side", F.lit("reference")).unionByName(
-        drift.side_stats(r, "new").withColumn("side", F.lit("new"))
-    )
+    both = drift.side_stats(ranked(spark, folder))
     return both.select("side", "feature", "n", *[F.round(c, 4).alias(c) for c in STAT_COLUMNS])
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerlark.functions.hashing import hash_bucket
 from ledgerlark.functions.rules import formatted_id, outcome_of_propensity, payment_propensity, pick, ratio
-from ledgerlark.sources.tables import table
+from ledgerlark.sources.tables import spread, table
 
 AS_OF = "2001-08-01"
 EMPLOYMENT = {
@@ -101,7 +101,10 @@ def predictions(spark: SparkSession, folder: str) -> DataFrame:
 
     `fold` (order key mod 5) and `part` (line status) stand in for validation folds and model versions.
     """
-    items = table(spark, folder, "lineitem").select(
+    scan = table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus"
+    )
+    items = spread(scan).select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
         (F.col("l_orderkey") % 5).cast("int").alias("fold"),
         F.col("l_linestatus").alias("part"),

@@ -162,7 +162,7 @@ def test_drift_statistics_equal_brute_force(spark):
     p, q = np.histogram(a, edges)[0] / len(a), np.histogram(b, edges)[0] / len(b)
     p, q = np.where(p == 0, 1e-4, p), np.where(q == 0, 1e-4, q)
     assert drift.psi(ranked).first()["statistic"] == pytest.approx(np.sum((q - p) * np.log(q / p)))
-    stats = drift.side_stats(ranked, "ref").first()
+    stats = drift.side_stats(ranked).where("side = 'reference'").first()
     assert stats["mean"] == pytest.approx(a.mean()) and stats["std_samp"] == pytest.approx(a.std(ddof=1))
     assert stats["median"] == pytest.approx(np.median(a))
     z = (a - a.mean()) / a.std()
