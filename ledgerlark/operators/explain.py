@@ -16,7 +16,8 @@ from pyspark.sql.window import Window
 
 from ledgerlark.functions.hashing import hash_number
 from ledgerlark.operators.explore import high_correlation_pairs
-from ledgerlark.operators.ordered import quantiles_of_counts, quantiles_wide, value_counts
+from ledgerlark.operators.ordered import quantiles_of_counts, quantiles_wide, small_side, value_counts
+from ledgerlark.session import materialise
 
 TOP_FEATURES = 10
 HIGH_CONFIDENCE = 0.8
@@ -84,9 +85,10 @@ def top_importance(shap: DataFrame, n: int = 20) -> DataFrame:
 def feature_profile(shap: DataFrame) -> DataFrame:
     """Per feature: importance, mean, spread, sign share, consistency, 5th and 95th percentile, outlier share.
 
-    Everything is read from value counts per feature: one scan, hot values combined before the shuffle.
+    Everything is read from value counts per feature, written once: one scan, hot values combined before
+    the shuffle.
     """
-    counts = value_counts(shap.select("feature", F.col("shap_value").alias("value")), ["feature"])
+    counts = materialise(value_counts(shap.select("feature", F.col("shap_value").alias("value")), ["feature"]))
     v, n = F.col("value"), F.col("n")
     size = F.sum(n)
     first = counts.groupBy("feature").agg(
@@ -94,12 +96,11 @@ def feature_profile(shap: DataFrame) -> DataFrame:
         (F.sum(n * v) / size).alias("mean_shap"),
         (F.sum(F.when(v > 0, n).otherwise(0)) / size).alias("positive_impact_ratio"),
     )
-    # one row per feature
     by = ["feature", "importance", "mean_shap", "positive_impact_ratio"]
-    spread = counts.join(F.broadcast(first), "feature").groupBy(*by).agg(
+    spread = counts.join(small_side(first), "feature").groupBy(*by).agg(
         F.sqrt(F.sum(n * F.pow(v - F.col("mean_shap"), 2)) / size).alias("std_shap")
     )
-    outside = counts.join(F.broadcast(spread), "feature").groupBy(*by, "std_shap").agg(
+    outside = counts.join(small_side(spread), "feature").groupBy(*by, "std_shap").agg(
         (F.sum(F.when(F.abs(v) > 2 * F.col("std_shap"), n).otherwise(0)) / size).alias("outlier_impact")
     )
     names = {0.95: "percentile_95", 0.05: "percentile_5"}
