@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerlark.llm import bpe, quality, toxicity
+from ledgerlark.llm import bpe, decontaminate, neardup, quality, substringdedup, toxicity
 from ledgerlark.llm.tables import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -25,6 +26,20 @@ def op2_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_scores(spark, table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+@query
+def op3_winnowing_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+ORACLE["op3_winnowing_decontamination"] = decontaminate.ORACLE_SQL
+
+
+@query
+def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = substringdedup.substring_dedup(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.token_digests(table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
@@ -33,3 +48,8 @@ def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity_scores(spark, table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op10_minhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, folder, "documents"))
