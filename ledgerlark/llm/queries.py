@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlark.llm import bpe, decontaminate, neardup, quality, substringdedup, toxicity
+from ledgerlark.llm import bpe, decontaminate, linededup, merkle, mtree, neardup, quality, substringdedup, toxicity
 from ledgerlark.llm.tables import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -21,6 +21,16 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op1_merkle_fixity_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages against a replica with faults by rule."""
+    pages = table(spark, folder, "pages")
+    return merkle.audit(pages, merkle.damaged(pages))
+
+
+ORACLE["op1_merkle_fixity_audit"] = merkle.ORACLE_SQL
+
+
 @query
 def op2_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_scores(spark, table(spark, folder, "documents"), table(spark, folder, "labels"))
@@ -34,12 +44,30 @@ def op3_winnowing_decontamination(spark: SparkSession, folder: str) -> DataFrame
 ORACLE["op3_winnowing_decontamination"] = decontaminate.ORACLE_SQL
 
 
+@query
+def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = linededup.line_dedup(table(spark, folder, "documents"))
+    kept = F.sha2(F.coalesce("text", F.lit("")), 256)
+    return found.select("doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_removed").alias("n_removed"), kept.alias("kept_sha256"))
+
+
+ORACLE["op5_line_dedup"] = linededup.ORACLE_SQL
+
+
 @query
 def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = substringdedup.substring_dedup(table(spark, folder, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query
+def op7_mtree_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return mtree.top_k(table(spark, folder, "embeddings"))
+
+
+ORACLE["op7_mtree_top_k"] = mtree.ORACLE_SQL
+
+
 @query
 def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.token_digests(table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
