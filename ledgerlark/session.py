@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +17,7 @@ def build_session(app: str = "ledgerlark", master: str | None = None, **conf: st
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **conf,
     }
     for key, value in settings.items():
@@ -26,18 +26,11 @@ def build_session(app: str = "ledgerlark", master: str | None = None, **conf: st
 
 
 def shared_root(spark: SparkSession) -> str:
-    """Folder every executor can reach, taken from `spark.checkpoint.dir`.
-
-    Only a local session, where all tasks share one disk, may fall back to a folder of its own.
-    """
+    """Folder every executor can reach: `spark.checkpoint.dir`, or one in the session's warehouse where that is unset."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         root = spark.conf.get("spark.checkpoint.dir", None)
-        if root is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-            root = tempfile.mkdtemp(prefix="ledgerlark-")
-        context.setCheckpointDir(root)
+        context.setCheckpointDir(root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared")
     return context.getCheckpointDir()
 
 
