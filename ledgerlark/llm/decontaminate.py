@@ -88,7 +88,10 @@ def benchmark_windows(items: DataFrame, window: int = WINDOW, gram: int = GRAM)
 
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram: int = GRAM, share: int = SHARE, broadcast: int = BROADCAST) -> DataFrame:
-    """`(doc_id, n_words, n_hit, n_items, items_sha256, contaminated)` of every row of `docs`."""
+    """`(doc_id, n_words, n_hit, n_items, items_sha256, contaminated, row)` of every row of `docs`.
+
+    `row` is `xxhash64(doc_id, text)`, by which rows of equal ids can be told apart.
+    """
     pairs, prints = benchmark_windows(items, window, gram)
     short = sorted(r["len"] for r in prints.where(F.col("len") < window).select("len").distinct().collect())  # window - 1 at most
     if prints.limit(broadcast + 1).count() <= broadcast:
@@ -125,7 +128,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram:
     ids = F.coalesce(F.array_join("ids", ","), F.lit(""))
     return judged.join(held, "row", "left").select(
         "doc_id", "n_words", "n_hit", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_items"),
-        F.sha2(ids, 256).alias("items_sha256"), ((F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
+        F.sha2(ids, 256).alias("items_sha256"), ((F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"), "row",
     )
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlark.llm import bpe, decontaminate, linededup, merkle, mtree, neardup, quality, substringdedup, toxicity
+from ledgerlark.llm import bpe, decontaminate, licenses, linededup, merkle, mtree, neardup, quality, substringdedup, toxicity
 from ledgerlark.llm.tables import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -38,12 +38,17 @@ def op2_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op3_winnowing_decontamination(spark: SparkSession, folder: str) -> DataFrame:
-    return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("row")
 
 
 ORACLE["op3_winnowing_decontamination"] = decontaminate.ORACLE_SQL
 
 
+@query
+def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.license_scan(table(spark, folder, "documents"))
+
+
 @query
 def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = linededup.line_dedup(table(spark, folder, "documents"))

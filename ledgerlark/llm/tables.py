@@ -5,20 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlark.session import materialise
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the session's shared folder; computed once, readable after executors are lost."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        root = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if root is None:
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(root)
-    return df.checkpoint()
+    """Cuts the lineage: written once to the shared folder, readable after executors are lost."""
+    return materialise(df)
 
 
 def remainder(column: str, divisor: int) -> Column:
