@@ -67,6 +67,11 @@ def winnowed(hashes: Column, window: int = WINDOW, gram: int = GRAM) -> Column:
     return F.when(F.size(hashes) >= window, F.transform(found, shape))
 
 
+def every_run(hashes: Column, n: int) -> Column:
+    """`(len, fp, at)` of the runs of `n` words at all places."""
+    return F.transform(run_hashes(hashes, n), lambda h, i: F.struct(F.lit(n).alias("len"), h.alias("fp"), i.alias("at")))
+
+
 def benchmark_windows(items: DataFrame, window: int = WINDOW, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
     """`(key, item_id)` of all windows, and `(len, fp, offset, key)`: where in the window its kept hashes stand.
 
@@ -100,9 +105,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram:
 
     def fingerprints(hashes: Column) -> Column:
         # the list of lengths comes from the benchmark and has window - 1 entries at most
-        parts = [winnowed(hashes, window, gram)] + [
-            F.transform(run_hashes(hashes, n), lambda h, i, n=n: F.struct(F.lit(n).alias("len"), h.alias("fp"), i.alias("at"))) for n in short
-        ]
+        parts = [winnowed(hashes, window, gram), *(every_run(hashes, n) for n in short)]
         none = F.array().cast("array<struct<len:int,fp:bigint,at:int>>")
         return F.concat(*[F.coalesce(p, none) for p in parts])
 
