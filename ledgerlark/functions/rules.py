@@ -22,11 +22,11 @@ OUTCOME_ACTIONS = {
         ["Immediate intervention required", "Consider legal action", "Offer payment plan options", "Increase contact frequency"],
     ),
     "full_payment": (
-        "Medium",
+        "Low",
         ["Standard collection process", "Send payment reminders", "Maintain regular contact", "Monitor payment behavior"],
     ),
     "partial_payment": (
-        "Low",
+        "Medium",
         ["Negotiate payment terms", "Offer partial payment plans", "Increase engagement", "Monitor closely"],
     ),
 }

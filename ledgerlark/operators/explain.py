@@ -140,14 +140,14 @@ def model_behaviour(shap: DataFrame) -> DataFrame:
     )
 
 
-# Rule name -> (condition on the profile, how many features are listed, needed count).
-def insight_rules() -> dict[str, tuple[Column, int, int]]:
+# Rule name -> (condition on the profile, how many features are listed (None: all), needed count).
+def insight_rules() -> dict[str, tuple[Column, int | None, int]]:
     importance_, consistency = F.col("importance"), F.col("impact_consistency")
     positive, spread = F.col("positive_impact_ratio"), F.col("std_shap")
     strong = importance_ > 0.05
     return {
         "inconsistent_high_impact": ((F.col("importance_rank") <= 10) & (consistency < 0.3), 3, 1),
-        "low_importance": (importance_ < 0.01, 1000, 6),
+        "low_importance": (importance_ < 0.01, None, 6),
         "outlier_impact": ((F.col("outlier_impact") > 0.1) & strong, 3, 1),
         "interaction_candidates": ((positive > 0.8) & strong, 2, 1),
         "binning_candidates": ((positive > 0.3) & (positive < 0.7) & strong, 2, 1),
@@ -169,7 +169,7 @@ def insights(profile: DataFrame) -> DataFrame:
     )
     hits = F.array(
         *[
-            F.when(condition, F.struct(F.lit(name).alias("rule"), F.lit(keep).alias("keep"), F.lit(need).alias("need")))
+            F.when(condition, F.struct(F.lit(name).alias("rule"), F.lit(keep).cast("int").alias("keep"), F.lit(need).alias("need")))
             for name, (condition, keep, need) in insight_rules().items()
         ]
     )
@@ -179,7 +179,7 @@ def insights(profile: DataFrame) -> DataFrame:
     by_rule = Window.partitionBy("rule")
     return (
         rows.withColumns({"place": F.row_number().over(by_rule.orderBy("importance_rank")), "found": F.count(F.lit(1)).over(by_rule)})
-        .where((F.col("place") <= F.col("keep")) & (F.col("found") >= F.col("need")))
+        .where((F.col("keep").isNull() | (F.col("place") <= F.col("keep"))) & (F.col("found") >= F.col("need")))
         .select("rule", "place", "feature")
     )
 

@@ -322,20 +322,27 @@ class DomainFeaturesModel(_Fitted):
 
 
 class Interactions(Transformer, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
-    """Pairwise products of the first columns, no squares."""
+    """Pairwise products of all columns, or of the first `maxColumns` if that is set; no squares."""
+
+    maxColumns = Param(Params._dummy(), "maxColumns", "how many leading columns are multiplied", TypeConverters.toInt)
 
     @keyword_only
-    def __init__(self, *, inputCols=None):
+    def __init__(self, *, inputCols=None, maxColumns=None):
         super().__init__()
         if inputCols is not None:
             self._set(inputCols=list(inputCols))
+        if maxColumns is not None:
+            self._set(maxColumns=maxColumns)
+
+    def _pairs(self) -> list[tuple[str, str]]:
+        columns = self.getInputCols()
+        return list(combinations(columns[: self.getOrDefault(self.maxColumns)] if self.isDefined(self.maxColumns) else columns, 2))
 
     def output_columns(self) -> list[str]:
-        return [f"{a}_x_{b}" for a, b in combinations(self.getInputCols()[:STATISTIC_COLUMNS], 2)]
+        return [f"{a}_x_{b}" for a, b in self._pairs()]
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        pairs = combinations(self.getInputCols()[:STATISTIC_COLUMNS], 2)
-        return df.withColumns({f"{a}_x_{b}": F.col(a).cast("double") * F.col(b).cast("double") for a, b in pairs})
+        return df.withColumns({f"{a}_x_{b}": F.col(a).cast("double") * F.col(b).cast("double") for a, b in self._pairs()})
 
 
 def anova_f(df: DataFrame, columns: Sequence[str], label: str) -> DataFrame:

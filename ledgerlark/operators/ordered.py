@@ -8,6 +8,7 @@ over as many range blocks as it needs. Per-block totals give each block its star
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,7 @@ from pyspark.sql.window import Window
 from ledgerlark.session import materialise
 
 BLOCK = "__block"
-BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 8 << 20
 
 
 def present(column: str | Column) -> Column:
@@ -39,10 +40,16 @@ def melt(
     return long.withColumn("value", F.when(~F.isnan("value"), F.col("value")))
 
 
-def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Written once and counted: broadcast if within the limit, else left for Spark to shuffle."""
+def small_side(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Written once and measured: broadcast if its values, as text, are within the limit, else left for Spark to shuffle."""
     stored = materialise(df)
-    return F.broadcast(stored) if stored.limit(limit + 1).count() <= limit else stored
+    size = stored.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
+    return F.broadcast(stored) if size <= limit else stored
+
+
+def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
+    """Join condition under which missing keys equal each other."""
+    return reduce(Column.__and__, [left[k].eqNullSafe(right[k]) for k in keys])
 
 
 def _running_sums(keys: Sequence[str], measures: Sequence[str]):
@@ -107,8 +114,9 @@ def prefix_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], measure
         *[F.coalesce(F.sum(f"__{m}").over(earlier), F.lit(0)).alias(f"__{m}_offset") for m in measures],
         *[F.sum(f"__{m}").over(across).alias(f"{m}_total") for m in measures],
     )
-    return blocks.join(small_side(offsets), [*keys, BLOCK]).select(
-        *df.columns,
+    offsets = small_side(offsets)
+    return blocks.join(offsets, same_keys(blocks, offsets, [*keys, BLOCK])).select(
+        *[blocks[c] for c in df.columns],
         *[(F.col(f"__{m}_offset") + F.col(f"__{m}_local")).alias(f"{m}_before") for m in measures],
         *[f"{m}_total" for m in measures],
     )

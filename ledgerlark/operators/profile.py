@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, LongType, NumericType
 
-from ledgerlark.operators.ordered import melt, quantiles, quantiles_of_counts, quantiles_wide, value_counts
+from ledgerlark.operators.ordered import melt, quantiles, quantiles_of_counts, quantiles_wide, same_keys, value_counts
 
 FLAG_LIMIT_PCT = 5.0
 NUMERIC_RATIO = 0.05
@@ -24,6 +24,16 @@ def _missing(df: DataFrame, name: str) -> Column:
     return null | F.isnan(name) if isinstance(field.dataType, (DoubleType, FloatType)) else null
 
 
+def missing_profile(df: DataFrame) -> DataFrame:
+    """`(column, missing_count, missing_pct)` from one aggregate; no value is shuffled."""
+    total = F.col("__rows")
+    counted = df.agg(F.count(F.lit(1)).alias("__rows"), *[F.sum(_missing(df, c).cast("long")).alias(c) for c in df.columns])
+    rows = F.array(*[F.struct(F.lit(c).alias("column"), F.coalesce(c, F.lit(0)).alias("missing_count")) for c in df.columns])
+    return counted.select("__rows", F.inline(rows)).select(
+        "column", "missing_count", F.round(100.0 * F.try_divide(F.col("missing_count"), total), 6).alias("missing_pct")
+    )
+
+
 def column_profile(df: DataFrame, rsd: float | None = None) -> DataFrame:
     """`(column, dtype, missing_count, missing_pct, unique_values, cardinality_ratio)`.
 
@@ -147,10 +157,13 @@ def feature_types(df: DataFrame, exclude: Sequence[str] = (), ratio: float = NUM
 
 
 def describe_by_group(df: DataFrame, columns: Sequence[str], by: str, digits: int = 4) -> DataFrame:
-    """count, mean, std (ddof 1), min, quartiles and max of each column per group."""
-    long = melt(df, columns, [by])
+    """count, mean, std (ddof 1), min, quartiles and max of each column per group.
+
+    A missing key is a group of its own; a group without any value has count 0.
+    """
+    long = melt(df, columns, [by], drop_missing=False)
     basic = long.groupBy(by, "feature").agg(
-        F.count(F.lit(1)).alias("count"),
+        F.count("value").alias("count"),
         F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"),
@@ -159,25 +172,28 @@ def describe_by_group(df: DataFrame, columns: Sequence[str], by: str, digits: in
     names = {0.25: "q25", 0.5: "median", 0.75: "q75"}
     wide = quantiles_wide(quantiles(df, columns, list(names), by=[by]), [by, "feature"], names)
     rounded = ["mean", "std", "min", "q25", "median", "q75", "max"]
-    return basic.join(wide, [by, "feature"]).select(
-        by, "feature", "count", *[F.round(c, digits).alias(c) for c in rounded]
+    return basic.join(wide, same_keys(basic, wide, [by, "feature"]), "left").select(
+        basic[by], basic["feature"], "count", *[F.round(c, digits).alias(c) for c in rounded]
     )
 
 
 def boxplot_stats(df: DataFrame, column: str, by: str, digits: int = 4) -> DataFrame:
-    """Quartiles and the outermost values within 1.5 IQR per group, plus the number outside."""
-    counts = value_counts(melt(df, [column], [by]), [by])
+    """Quartiles and the outermost values within 1.5 IQR per group, plus the number outside.
+
+    A missing key is a group of its own; a group without any value has no quartiles and nothing outside.
+    """
+    counts = value_counts(melt(df, [column], [by], drop_missing=False), [by])
     names = {0.25: "q25", 0.5: "median", 0.75: "q75"}
     wide = quantiles_wide(quantiles_of_counts(counts, [by], list(names)), [by], names)
     spread = F.col("q75") - F.col("q25")
     inside = (F.col("value") >= F.col("q25") - 1.5 * spread) & (F.col("value") <= F.col("q75") + 1.5 * spread)
     return (
-        counts.join(wide, by)
+        counts.join(wide.withColumnRenamed(by, "__by"), F.col(by).eqNullSafe(F.col("__by")), "left")
         .groupBy(by, *names.values())
         .agg(
             F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
             F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
-            F.sum(F.when(inside, 0).otherwise(F.col("n"))).alias("n_outside"),
+            F.sum(F.when(inside | F.col("value").isNull(), 0).otherwise(F.col("n"))).alias("n_outside"),
         )
         .select(by, *[F.round(c, digits).alias(c) for c in [*names.values(), "whisker_low", "whisker_high"]], "n_outside")
     )

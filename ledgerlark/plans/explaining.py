@@ -60,7 +60,7 @@ def shap_long(spark: SparkSession, folder: str) -> DataFrame:
     return ex.linear_attribution(df, "customer_id", COEFFICIENTS, ex.column_means(df, FEATURES))
 
 
-def documents(spark: SparkSession, folder: str, n: int = 3) -> DataFrame:
+def documents(spark: SparkSession, folder: str, n: int = 10) -> DataFrame:
     """Explanation documents of the given linear model."""
     df = ready(spark, folder)
     return ex.linear_explanations(df, "customer_id", COEFFICIENTS, INTERCEPTS, ex.column_means(df, FEATURES), n)
@@ -118,12 +118,12 @@ def attribution_interactions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(f"""
-WITH {SHAP}, shifted AS (SELECT feature, shap_value - 0.2::DOUBLE AS v FROM shap WHERE class = 'no_payment' AND feature IN ('credit_score', 'days_overdue', 'response_rate'))
-SELECT feature, round(avg(v), 6) AS average_impact, round(avg(CASE WHEN v < 0 THEN 1.0 ELSE 0.0 END), 6) AS frequency FROM shifted GROUP BY 1 HAVING avg(v) < -0.1""")
+WITH {SHAP}, recent AS (SELECT feature, shap_value AS v FROM shap WHERE class = 'no_payment' AND row_id IN (SELECT customer_id FROM accounts WHERE days_overdue <= 60))
+SELECT feature, round(avg(v), 6) AS average_impact, round(avg(CASE WHEN v < 0 THEN 1.0 ELSE 0.0 END), 6) AS frequency FROM recent GROUP BY 1 HAVING avg(v) < -0.1""")
 def attribution_risks(spark: SparkSession, folder: str) -> DataFrame:
-    """Features with a clearly negative mean; attributions are shifted by -0.2 as their own mean is 0."""
-    chosen = shap_long(spark, folder).where((F.col("class") == "no_payment") & F.col("feature").isin("credit_score", "days_overdue", "response_rate"))
-    risks = ex.risk_factors(chosen.withColumn("shap_value", F.col("shap_value") - 0.2))
+    """Features with a clearly negative mean among accounts at most 60 days overdue (over all accounts it is 0)."""
+    recent = accounts(spark, folder).where("days_overdue <= 60").select(F.col("customer_id").alias("row_id"))
+    risks = ex.risk_factors(shap_long(spark, folder).where("class = 'no_payment'").join(recent, "row_id", "left_semi"))
     return risks.withColumns({c: F.round(c, 6) for c in ("average_impact", "frequency")})
 
 
@@ -131,7 +131,7 @@ def attribution_risks(spark: SparkSession, folder: str) -> DataFrame:
 WITH {PROFILE}, r AS (SELECT *, row_number() OVER (ORDER BY importance DESC, feature) AS ir FROM profile),
 hits AS (
   SELECT 'inconsistent_high_impact' AS rule, 3 AS keep, 1 AS need, ir, feature FROM r WHERE ir <= 10 AND impact_consistency < 0.3
-  UNION ALL SELECT 'low_importance', 1000, 6, ir, feature FROM r WHERE importance < 0.01
+  UNION ALL SELECT 'low_importance', 1000000, 6, ir, feature FROM r WHERE importance < 0.01
   UNION ALL SELECT 'outlier_impact', 3, 1, ir, feature FROM r WHERE outlier_impact > 0.1 AND importance > 0.05
   UNION ALL SELECT 'interaction_candidates', 2, 1, ir, feature FROM r WHERE positive_impact_ratio > 0.8 AND importance > 0.05
   UNION ALL SELECT 'binning_candidates', 2, 1, ir, feature FROM r WHERE positive_impact_ratio > 0.3 AND positive_impact_ratio < 0.7 AND importance > 0.05
@@ -153,7 +153,7 @@ placed AS (SELECT *, row_number() OVER (PARTITION BY row_id, class ORDER BY abs(
 @query(f"""
 WITH {SHAP}, {PROBS}, {TOP}
 SELECT row_id, class, round(greatest(p0, p1, p2), 6) AS confidence, CAST(place AS INTEGER) AS place, feature, round(shap_value, 6) AS shap_value, round(feature_value, 6) AS feature_value,
-  CASE WHEN shap_value > 0 THEN 'positive' ELSE 'negative' END AS impact FROM placed JOIN predicted USING (row_id, class) WHERE place <= 3""")
+  CASE WHEN shap_value > 0 THEN 'positive' ELSE 'negative' END AS impact FROM placed JOIN predicted USING (row_id, class) WHERE place <= 10""")
 def top_features_per_row(spark: SparkSession, folder: str) -> DataFrame:
     """The explanation document of every row, flattened to its strongest features for the predicted class."""
     return documents(spark, folder).select("row_id", "class", "probabilities", F.posexplode("top_features").alias("pos", "t")).select(
@@ -169,7 +169,7 @@ c AS (SELECT class, CASE WHEN shap_value > 0 THEN 'positive' ELSE 'negative' END
 r AS (SELECT *, row_number() OVER (PARTITION BY class, impact ORDER BY n DESC, feature) AS place FROM c)
 SELECT class, impact, feature, n, CAST(place AS INTEGER) AS place FROM r WHERE place <= 5""")
 def class_drivers(spark: SparkSession, folder: str) -> DataFrame:
-    return ex.drivers_of_documents(documents(spark, folder))
+    return ex.drivers_of_documents(documents(spark, folder, 3))
 
 
 @query(f"""
@@ -185,7 +185,7 @@ def explanation_confidence(spark: SparkSession, folder: str) -> DataFrame:
 WITH {SHAP}, {PROBS}, {TOP}, g AS (SELECT feature, avg(abs(shap_value)) AS v FROM shap GROUP BY 1),
 picked AS (SELECT * FROM predicted ORDER BY CAST('0x' || substr(md5(row_id), 1, 7) AS BIGINT), row_id LIMIT 10)
 SELECT 'global' AS section, 'all' AS key, CAST(row_number() OVER (ORDER BY v DESC, feature) AS INTEGER) AS place, feature AS item, round(v, 6) AS value FROM g
-UNION ALL SELECT 'sample', row_id, CAST(place AS INTEGER), feature, round(shap_value, 6) FROM placed JOIN picked USING (row_id, class) WHERE place <= 3""")
+UNION ALL SELECT 'sample', row_id, CAST(place AS INTEGER), feature, round(shap_value, 6) FROM placed JOIN picked USING (row_id, class) WHERE place <= 10""")
 def explanation_report(spark: SparkSession, folder: str) -> DataFrame:
     """Global importance, and the documents of ten sampled rows."""
     shap = shap_long(spark, folder)

@@ -313,7 +313,7 @@ def numeric_coerce(spark: SparkSession, folder: str) -> DataFrame:
 @query(f"""
 WITH {ACCOUNTS}
 SELECT customer_id, payment_status AS predicted_class,
-  CASE payment_status WHEN 'no_payment' THEN 'High' WHEN 'full_payment' THEN 'Medium' ELSE 'Low' END AS risk_level,
+  CASE payment_status WHEN 'no_payment' THEN 'High' WHEN 'full_payment' THEN 'Low' ELSE 'Medium' END AS risk_level,
   CASE payment_status WHEN 'no_payment' THEN 'Immediate intervention required | Consider legal action | Offer payment plan options | Increase contact frequency'
     WHEN 'full_payment' THEN 'Standard collection process | Send payment reminders | Maintain regular contact | Monitor payment behavior'
     ELSE 'Negotiate payment terms | Offer partial payment plans | Increase engagement | Monitor closely' END AS actions

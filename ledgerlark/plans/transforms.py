@@ -234,11 +234,11 @@ WITH {ACCOUNTS}
 SELECT a.customer_id, round(a.debt_amount, 4) AS debt_amount, round(a.credit_score, 4) AS credit_score,
   round(a.debt_to_income_ratio, 6) AS debt_to_income_ratio, a.employment_status FROM accounts a""")
 def column_concat(spark: SparkSession, folder: str) -> DataFrame:
-    """Two blocks of columns put side by side by key."""
+    """Two blocks of columns put side by side."""
     df = accounts(spark, folder)
-    left = df.select("customer_id", F.round("debt_amount", 4).alias("debt_amount"), F.round("credit_score", 4).alias("credit_score"))
-    right = df.select("customer_id", F.round("debt_to_income_ratio", 6).alias("debt_to_income_ratio"), "employment_status")
-    return left.join(right, "customer_id")
+    left = [F.round("debt_amount", 4).alias("debt_amount"), F.round("credit_score", 4).alias("credit_score")]
+    right = [F.round("debt_to_income_ratio", 6).alias("debt_to_income_ratio"), F.col("employment_status")]
+    return df.select("customer_id", *left, *right)  # both blocks come from one table, so no join is needed
 
 
 @query(" UNION ALL ".join(f"""

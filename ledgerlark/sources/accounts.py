@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerlark.functions.hashing import hash_bucket
 from ledgerlark.functions.rules import formatted_id, outcome_of_propensity, payment_propensity, pick, ratio
-from ledgerlark.sources.tables import spread, table
+from ledgerlark.sources.tables import table
 
 AS_OF = "2001-08-01"
 EMPLOYMENT = {
@@ -35,13 +35,13 @@ NUMERIC_FEATURES = [
 def accounts(spark: SparkSession, folder: str, as_of: str = AS_OF) -> DataFrame:
     """One row per customer: its latest order plus order shares.
 
-    The latest order is found by one number, day and order key (keys below 2^47), so all aggregate
+    The latest order is found by one number, day and order key (a key beyond 2^47 is an error), so all aggregate
     buffers are plain numbers: rows are combined in a hash map before the shuffle, without a sort, and
     a customer with very many orders costs one row per task.
     """
-    orders = table(spark, folder, "orders").withColumn(
-        "recency", F.unix_date(F.col("o_orderdate").cast("date")).cast("long") * (1 << 47) + F.col("o_orderkey")
-    )
+    key = F.col("o_orderkey")
+    checked = F.when(key.between(0, (1 << 47) - 1), key).otherwise(F.raise_error(F.lit("order keys must lie between 0 and 2^47 - 1")).cast("long"))
+    orders = table(spark, folder, "orders").withColumn("recency", F.unix_date(F.col("o_orderdate").cast("date")).cast("long") * (1 << 47) + checked)
 
     def share(status: str):
         return F.avg(F.when(F.col("o_orderstatus") == status, 1.0).otherwise(0.0))
@@ -104,7 +104,7 @@ def predictions(spark: SparkSession, folder: str) -> DataFrame:
     scan = table(spark, folder, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus"
     )
-    items = spread(scan).select(
+    items = scan.select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
         (F.col("l_orderkey") % 5).cast("int").alias("fold"),
         F.col("l_linestatus").alias("part"),

@@ -13,15 +13,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A plain scan with fewer splits than cores, dealt out evenly; any larger scan is left as it is.
-
-    For work that grows each row many times over, so that a table in one small file still uses all cores.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def nan_to_null(df: DataFrame) -> DataFrame:
     """One kind of missing value: floating columns get NULL for NaN."""
     floating = {

@@ -11,9 +11,11 @@ SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    shared = tmp_path_factory.mktemp("shared")
     session = build_session(
-        "ledgerlark-tests", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"}
+        "ledgerlark-tests", "local[8]",
+        **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", "spark.checkpoint.dir": f"{shared}/checkpoints", "spark.sql.warehouse.dir": f"{shared}/warehouse"},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
