@@ -82,13 +82,13 @@ def _source(c: str) -> str:
 
 @query(f"""
 WITH {ACCOUNTS}, wide AS (SELECT customer_id, {', '.join(f'{_source(c)} AS {c}' for c in WIDE)} FROM accounts)
-SELECT customer_id, {', '.join(f'round({a} * {b}, 1) AS {a}_x_{b}' for a, b in combinations(WIDE, 2))} FROM wide""")
+SELECT customer_id, {', '.join(f'round(ln(1 + {a} * {b}), 7) AS {a}_x_{b}' for a, b in combinations(WIDE, 2))} FROM wide""")
 def interactions_wide(spark: SparkSession, folder: str) -> DataFrame:
-    """Products of all pairs of twelve columns."""
+    """Products of all pairs of twelve columns, as logarithms, so that no value lies on a rounding edge."""
     df = accounts(spark, folder)
     df = df.select("customer_id", *[(F.col(c[:-2]) * 2).alias(c) if c.endswith("_2") else F.col(c) for c in WIDE])
     step = ft.Interactions(inputCols=WIDE)
-    return step.transform(df).select("customer_id", *[F.round(c, 1).alias(c) for c in step.output_columns()])
+    return step.transform(df).select("customer_id", *[F.round(F.log(1 + F.col(c)), 7).alias(c) for c in step.output_columns()])
 
 
 @query("SELECT unnest(['l_orderkey', 'l_partkey', 'l_suppkey', 'l_linenumber', 'l_quantity', 'l_extendedprice', 'l_discount', 'l_tax', 'l_returnflag', 'l_linestatus', 'l_shipdate']) AS \"column\", true AS within")
