@@ -21,6 +21,7 @@ from ledgerlark.session import materialise
 
 BLOCK = "__block"
 BROADCAST_BYTES = 8 << 20
+BRACKET_ACCURACY = 5_000  # of the sketches that bracket exact quantiles
 
 
 def present(column: str | Column) -> Column:
@@ -158,6 +159,46 @@ def quantiles_of_counts(counts: DataFrame, keys: Sequence[str], probs: Sequence[
     return quantiles_of_ranked(prefix_sum(present_counts, keys, ["value"], [n]), keys, probs, n)
 
 
+def bracketed_quantiles(long: DataFrame, keys: Sequence[str], probs: Sequence[float], accuracy: int = BRACKET_ACCURACY) -> DataFrame:
+    """Exact quantiles without a shuffle of the values, `(keys..., p, quantile)`.
+
+    Mergeable sketches bracket each wanted rank; their rank error is at most 1 / accuracy and the bracket is five
+    times as wide on either side. A second pass counts what lies below a bracket, one number per task, and only
+    values inside, about 10 / accuracy of them, are ranked; of up to `accuracy` values all are. A rank outside its
+    bracket would be an error.
+    """
+    margin = 5 / accuracy
+    edges = [max(p - margin, 0.0) for p in probs] + [min(p + margin, 1.0) for p in probs] + [0.0, 1.0]
+    sketch = long.groupBy(*keys).agg(F.count("value").alias("__rows"), F.percentile_approx("value", edges, accuracy).alias("__edges"))
+    edge = lambda at, end: F.when(F.col("__rows") > accuracy, F.col("__edges")[at]).otherwise(F.col("__edges")[2 * len(probs) + end])
+    brackets = F.array(
+        *[F.struct(F.lit(float(p)).alias("p"), edge(i, 0).alias("__low"), edge(len(probs) + i, 1).alias("__high")) for i, p in enumerate(probs)]
+    )
+    renamed = {k: f"__key_{i}" for i, k in enumerate(keys)}
+    places = small_side(sketch.select(*[F.col(k).alias(n) for k, n in renamed.items()], "__rows", F.inline(brackets)))
+    here = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(n)) for k, n in renamed.items()])
+    side = F.when(F.col("value") < F.col("__low"), -1).when(F.col("value") > F.col("__high"), 1).otherwise(0)
+    counted = materialise(
+        long.join(places, here)
+        .groupBy(*keys, "p", "__rows", side.alias("__side"), F.when(side == 0, F.col("value")).alias("value"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    inside = prefix_sum(counted.where("__side = 0").select(*keys, "p", "__rows", "value", "n"), [*keys, "p"], ["value"], ["n"])
+    lower = counted.where("__side = -1").groupBy(*keys, "p").agg(F.sum("n").alias("__below"))
+    lower = lower.select(*[F.col(k).alias(n) for k, n in renamed.items()], F.col("p").alias("__p"), "__below")
+    first = F.coalesce("__below", F.lit(0)) + F.col("n_before")
+    last = first + F.col("n") - 1
+    spot = F.col("p") * (F.col("__rows") - 1)
+    low = F.max(F.when(F.floor(spot).between(first, last), F.col("value")))
+    high = F.max(F.when(F.ceil(spot).between(first, last), F.col("value")))
+    found = inside.join(lower, here & (F.col("p") == F.col("__p")), "left").groupBy(*keys, "p").agg(
+        low.alias("lo"), high.alias("hi"), F.max(spot - F.floor(spot)).alias("frac")
+    )
+    missed = F.raise_error(F.lit("a rank lies outside its bracket; use quantiles_of_counts")).cast("double")
+    value = F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("frac")
+    return found.select(*keys, "p", F.when(F.col("lo").isNull() | F.col("hi").isNull(), missed).otherwise(value).alias("quantile"))
+
+
 def quantiles(
     df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = (), accuracy: int | None = None
 ) -> DataFrame:
@@ -168,7 +209,7 @@ def quantiles(
     long = melt(df, columns, by)
     keys = [*by, "feature"]
     if accuracy is None:
-        return quantiles_of_counts(value_counts(long, keys), keys, probs)
+        return bracketed_quantiles(long, keys, probs)
     points = F.array(*[F.lit(float(p)) for p in probs])
     sketch = long.groupBy(*keys).agg(F.percentile_approx("value", [float(p) for p in probs], accuracy).alias("q"))
     return sketch.select(*keys, F.explode(F.arrays_zip(points.alias("p"), F.col("q").alias("quantile"))).alias("z")).select(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, LongType, NumericType
 
-from ledgerlark.operators.ordered import melt, quantiles, quantiles_of_counts, quantiles_wide, same_keys, value_counts
+from ledgerlark.operators.ordered import melt, quantiles, quantiles_wide, same_keys, small_side, value_counts
 
 FLAG_LIMIT_PCT = 5.0
 NUMERIC_RATIO = 0.05
@@ -91,21 +91,13 @@ def iqr_bounds(df: DataFrame, columns: Sequence[str], threshold: float = 1.5, ac
 def iqr_outliers(df: DataFrame, columns: Sequence[str], threshold: float = 1.5) -> DataFrame:
     """`(feature, lower, upper, outlier_count, outlier_pct)`; strictly outside, share of all rows.
 
-    Value counts, missing ones included, serve the quartiles, the outlier count and the row count, so
-    the table is scanned once for all three.
+    Exact quartiles and then one more pass that counts; no value is shuffled.
     """
-    counts = value_counts(melt(df, columns, drop_missing=False), ["feature"])
-    quartiles = quantiles_wide(
-        quantiles_of_counts(counts, ["feature"], [0.25, 0.75]), ["feature"], {0.25: "q25", 0.75: "q75"}
-    )
-    spread = F.col("q75") - F.col("q25")
-    bounds = quartiles.select(
-        "feature", (F.col("q25") - threshold * spread).alias("lower"), (F.col("q75") + threshold * spread).alias("upper")
-    )
+    bounds = iqr_bounds(df, columns, threshold).select("feature", "lower", "upper")
     outside = (F.col("value") < F.col("lower")) | (F.col("value") > F.col("upper"))
     # the broadcast side has one row per column of the table
-    found = counts.join(F.broadcast(bounds), "feature").groupBy("feature", "lower", "upper").agg(
-        F.sum(F.when(outside, F.col("n")).otherwise(0)).alias("outlier_count"), F.sum("n").alias("rows")
+    found = melt(df, columns, drop_missing=False).join(F.broadcast(bounds), "feature").groupBy("feature", "lower", "upper").agg(
+        F.sum(F.when(outside, 1).otherwise(0)).alias("outlier_count"), F.count(F.lit(1)).alias("rows")
     )
     return found.select(
         "feature",
@@ -182,18 +174,18 @@ def boxplot_stats(df: DataFrame, column: str, by: str, digits: int = 4) -> DataF
 
     A missing key is a group of its own; a group without any value has no quartiles and nothing outside.
     """
-    counts = value_counts(melt(df, [column], [by], drop_missing=False), [by])
+    values = melt(df, [column], [by], drop_missing=False)
     names = {0.25: "q25", 0.5: "median", 0.75: "q75"}
-    wide = quantiles_wide(quantiles_of_counts(counts, [by], list(names)), [by], names)
+    wide = small_side(quantiles_wide(quantiles(df, [column], list(names), by=[by]), [by], names))
     spread = F.col("q75") - F.col("q25")
     inside = (F.col("value") >= F.col("q25") - 1.5 * spread) & (F.col("value") <= F.col("q75") + 1.5 * spread)
     return (
-        counts.join(wide.withColumnRenamed(by, "__by"), F.col(by).eqNullSafe(F.col("__by")), "left")
+        values.join(wide.withColumnRenamed(by, "__by"), F.col(by).eqNullSafe(F.col("__by")), "left")
         .groupBy(by, *names.values())
         .agg(
             F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
             F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
-            F.sum(F.when(inside | F.col("value").isNull(), 0).otherwise(F.col("n"))).alias("n_outside"),
+            F.sum(F.when(inside | F.col("value").isNull(), 0).otherwise(1)).alias("n_outside"),
         )
         .select(by, *[F.round(c, digits).alias(c) for c in [*names.values(), "whisker_low", "whisker_high"]], "n_outside")
     )
