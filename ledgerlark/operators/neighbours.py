@@ -23,9 +23,10 @@ from ledgerlark.functions.hashing import hash_number, hash_uniform
 from ledgerlark.operators.ordered import row_index
 from ledgerlark.session import materialise
 
-MAX_PIVOTS = 256
+MAX_PIVOTS = 4096  # cells stay near a fixed size up to about 270 million donors
 BLOCK_ROWS = 4096
 CHUNK_CELLS = 4_000_000
+COPIES = 1_000  # copies of one row made by one task
 
 
 def _distances(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -179,6 +180,13 @@ def knn_impute(df: DataFrame, id_column: str, predictors: Sequence[str], target:
     ).drop("__fill")
 
 
+def numbered_copies(df: DataFrame, keep: Sequence[str], run: int = COPIES) -> DataFrame:
+    """A row per copy, numbered from 1. Runs of `run` numbers are dealt out first, so no row holds a long list."""
+    runs = df.where("copies > 0").select(*keep, "copies", F.explode(F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / run))).alias("__run"))
+    last = F.least(F.col("copies").cast("long"), (F.col("__run") + 1) * run)
+    return runs.repartition(*keep[:1], "__run").select(*keep, F.explode(F.sequence(F.col("__run") * run + 1, last)).alias("copy"))
+
+
 def smote(df: DataFrame, label: str, id_column: str, features: Sequence[str], k: int = 5, seed: int = 42) -> DataFrame:
     """Original rows plus synthetic ones until all classes are as large as the largest.
 
@@ -199,9 +207,7 @@ def smote(df: DataFrame, label: str, id_column: str, features: Sequence[str], k:
         # every member gets need // n copies, the first need % n in hash order one more
         spread = row_index(members.withColumn("h", hash_number(F.lit(str(seed)), "id")), [], ["h", "id"], "pos")
         copies = F.lit(need // n) + (F.col("pos") < need % n).cast("int")
-        planned = spread.withColumn("copies", copies).where("copies > 0").select(
-            "id", label, "x", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")
-        )
+        planned = numbered_copies(spread.withColumn("copies", copies), ["id", label, "x"])
         available = near.groupBy("id").agg(F.max("rank").alias("available"))
         pick = hash_number(F.lit(str(seed)), "id", F.col("copy").cast("string"), F.lit("pick")) % F.col("available") + 1
         chosen = planned.join(available, "id", "left").withColumn("rank", pick.cast("int")).join(

@@ -45,6 +45,44 @@ def test_quantiles_are_exact(spark, p):
         assert got[key] == pytest.approx(np.nanpercentile(group["value"], 100 * p), abs=1e-12)
 
 
+def test_quantiles_are_exact_beyond_the_sketch(spark):
+    """More values than the sketch holds, with a hot value, a missing key and ties at the edges."""
+    rng = np.random.default_rng(3)
+    values = np.concatenate([rng.normal(size=4000), np.zeros(2000), rng.integers(0, 5, 1000)])
+    df = spark.createDataFrame([(None if i % 7 == 0 else i % 2, float(v)) for i, v in enumerate(values)], "key long, value double")
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
+    found = ordered.bracketed_quantiles(ordered.melt(df, ["value"], ["key"]), ["key", "feature"], probs, accuracy=100).collect()
+    assert len(found) == 3 * len(probs)
+    for key in (None, 0, 1):
+        own = [v for i, v in enumerate(values) if (None if i % 7 == 0 else i % 2) == key]
+        for r in found:
+            if r["key"] == key:
+                assert r["quantile"] == pytest.approx(np.quantile(own, r["p"]), abs=1e-12)
+
+
+def test_copies_are_numbered_in_runs(spark):
+    df = spark.createDataFrame([("a", 0), ("b", 1), ("c", 7), ("d", 6)], "id string, copies int")
+    found = sorted(tuple(r) for r in neighbours.numbered_copies(df, ["id"], run=3).collect())
+    assert found == [("b", 1), *[("c", k) for k in range(1, 8)], *[("d", k) for k in range(1, 7)]]
+
+
+def test_missing_keys_are_groups(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", None), ("b", 2.0)], "key string, value double")
+    found = {r["key"]: (r["count"], r["median"]) for r in profile.describe_by_group(df, ["value"], "key").collect()}
+    assert found == {None: (2, 2.0), "a": (0, None), "b": (1, 2.0)}
+    boxes = {r["key"]: (r["median"], r["n_outside"]) for r in profile.boxplot_stats(df, "value", "key").collect()}
+    assert boxes == {None: (2.0, 0), "a": (None, 0), "b": (2.0, 0)}
+    rows = spark.createDataFrame([(i, None if i % 4 == 0 else i % 2) for i in range(100)], "id long, label long")
+    assert features.stratified_split(rows, "label", "id").count() == features.stratified_folds(rows, "label", "id").count() == 100
+
+
+def test_products_of_all_columns(spark):
+    names = [f"c{i}" for i in range(12)]
+    df = spark.createDataFrame([tuple(float(i) for i in range(12))], names)
+    assert len(features.Interactions(inputCols=names).transform(df).columns) == 12 + 66
+    assert len(features.Interactions(inputCols=names, maxColumns=4).transform(df).columns) == 12 + 6
+
+
 def test_quantiles_by_sketch_are_close(spark):
     df = spark.range(10001).select(F.col("id").cast("double").alias("v"))
     got = ordered.quantiles(df, ["v"], [0.5], accuracy=10000).first()["quantile"]
