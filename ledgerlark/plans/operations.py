@@ -148,7 +148,7 @@ def stream_drift(spark: SparkSession, folder: str) -> DataFrame:
     ranges = reference.where("bin = 0").select("event_type", "start", "stop", "width")
     stream = shifted(jobs.table_stream(spark, folder, "events", "ts")).where(ts >= cut)
     counts = jobs.run_updates(
-        jobs.drift_bin_counts(stream, ranges, ["event_type"], "value"), "stream-drift", ["window_start", "event_type", "bin"]
+        jobs.drift_bin_counts(stream, ranges, ["event_type"], "value"), run_dir(spark, "stream-drift"), ["window_start", "event_type", "bin"]
     )
     verdicts = jobs.drift_verdicts(counts, reference, ["event_type"])
     return verdicts.select(utc_naive("window_start").alias("window_start"), "event_type", "size", F.round("psi", 6).alias("psi"), "drift_detected")
@@ -181,7 +181,7 @@ def stream_ab(spark: SparkSession, folder: str) -> DataFrame:
     path = run_dir(spark, "stream-pairs")
     matched = jobs.run_append(pairs, path)
     again = spark.readStream.schema(matched.schema).parquet(f"{path}/table")
-    windows = jobs.run_updates(jobs.variant_windows(again), "stream-ab", ["window_start", "experiment_id", "variant"])
+    windows = jobs.run_updates(jobs.variant_windows(again), run_dir(spark, "stream-ab"), ["window_start", "experiment_id", "variant"])
     return windows.withColumn("window_start", utc_naive("window_start"))
 
 
@@ -194,7 +194,7 @@ def stream_timings(spark: SparkSession, folder: str) -> DataFrame:
     tables.write_json(performance_log(table(spark, folder, "events")), log)
     schema = "timestamp timestamp_ntz, component string, operation string, duration_seconds double, performance_type string"
     stream = spark.readStream.schema(schema).json(log).withColumn("timestamp", as_utc("timestamp"))
-    windows = jobs.run_updates(jobs.timing_windows(stream), "stream-timings", ["window_start", "operation"])
+    windows = jobs.run_updates(jobs.timing_windows(stream), run_dir(spark, "stream-timings"), ["window_start", "operation"])
     return _rounded_timings(windows.withColumn("window_start", utc_naive("window_start")))
 
 

@@ -20,7 +20,6 @@ from ledgerlark.operators.models import score
 from ledgerlark.operators.oplog import audit_rows, timing_rollup
 from ledgerlark.operators.ordered import small_side
 from ledgerlark.operators.profile import bin_of, bin_ranges
-from ledgerlark.session import run_dir
 
 
 def table_stream(spark: SparkSession, folder: str, name: str, ts: str | None = None) -> DataFrame:
@@ -31,10 +30,9 @@ def table_stream(spark: SparkSession, folder: str, name: str, ts: str | None = N
     return stream.withColumn(ts, as_utc(ts)) if ts else stream
 
 
-def run_updates(stream: DataFrame, name: str, keys: Sequence[str]) -> DataFrame:
-    """Run an update-mode aggregation over all available input; the newest row per key."""
+def run_updates(stream: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
+    """Run an update-mode aggregation over all input that is new since the last run with this path; the newest row per key."""
     spark = stream.sparkSession
-    path = run_dir(spark, name)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/table/batch={batch_id}")
