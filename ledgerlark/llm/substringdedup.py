@@ -106,8 +106,8 @@ def _firsts(hashes: np.ndarray, tails: np.ndarray) -> np.ndarray:
 def _slices(sorted_hashes: np.ndarray, bits: int, buckets: int) -> list[tuple[int, slice]]:
     """The non-empty stretch of each bucket; buckets are ranges of the hash."""
     place = (sorted_hashes >> np.uint64(bits - 32)) * np.uint64(buckets) >> np.uint64(32)
-    edges = np.searchsorted(place, np.arange(buckets + 1, dtype=np.uint64))
-    return [(b, slice(int(edges[b]), int(edges[b + 1]))) for b in range(buckets) if edges[b] < edges[b + 1]]
+    edges = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1], [True]))) if len(place) else np.zeros(1, dtype=np.intp)
+    return [(int(place[a]), slice(int(a), int(b))) for a, b in zip(edges[:-1], edges[1:], strict=True)]
 
 
 def _read_answers(table: pa.Table, kind: int, stretches: list[tuple[int, slice]], n: int) -> np.ndarray:
