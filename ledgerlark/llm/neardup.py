@@ -4,13 +4,13 @@
 smallest hash, and an empty bin takes the value of the first non-empty one on a fixed random walk of its own. Bands
 of `ROWS` bins are the bucket keys. Documents with equal sets are one class from then on, known by its smallest id.
 
-`links` turns buckets into candidate edges without pairing up their members. A bucket's centres are the member with
-most bucket mates, in a group of near copies usually their original, those with the smallest and largest id and the
-first by hash; the others are their rays. So a bucket gives four edges per member, however many members it has, and a
-class has other centres in each of its bands. Pairs are confirmed on full sets: first every class with the best of its
-centres, then those edges that still lie across components. Two alike classes are missed only if they meet neither in
-a bucket where one is a centre nor through others; the README has the counts against all pairs. A pair of similarity
-0.85 shares no bucket with probability below 1e-8.
+`links` turns buckets into edges without pairing up all their members. First come stars: a bucket's centres are the
+member with most bucket mates, in a group of near copies usually their original, those with the smallest and largest id
+and the first by hash; the others are their rays. Pairs are confirmed on full sets: first every class with the best of
+its centres, then those edges that still lie across components. `rest` then takes the buckets that still hold several
+components, in blocks of bounded size, and settles every pair of theirs that lies across components: by set sizes, by
+a lower bound on the difference from parity bitmaps, or on full sets. So no pair that shares a bucket is given up. A
+pair of similarity 0.85 shares no bucket with probability below 1e-8.
 
 Texts without words have an empty set and link with nothing. Rows with equal ids are one node. A null id takes no
 part: its component is null and it is kept. Other columns are ignored.
@@ -33,6 +33,9 @@ PERCENT = 85  # linked if 100 * intersection >= PERCENT * union
 BANDS = 40
 ROWS = 6
 BINS = BANDS * ROWS
+PARITY = 1024  # bits of a parity bitmap
+BLOCK = 1024  # classes of one block of a bucket
+BLOCK_SHINGLES = 1 << 20  # and their shingles, on average
 
 
 def shingle_set(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
@@ -168,6 +171,131 @@ def _similar_sizes(percent: int):
     return 100 * F.least("n", "m") >= percent * F.greatest("n", "m")
 
 
+def _parity(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        maps = []
+        for hashes in batch.column("hashes"):
+            at = (mix(np.frombuffer(hashes.as_py(), dtype=np.uint64)) % np.uint64(PARITY)).astype(np.intp)
+            maps.append(np.packbits((np.bincount(at, minlength=PARITY) & 1).astype(np.uint8)).tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array(maps, pa.binary())], names=["rep", "parity"])
+
+
+GROUP = ["key", "i", "j"]
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The groups of rows sorted by `GROUP`, each whole."""
+    left: list[pa.Table] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = pa.Table.from_batches([batch])
+        names = np.stack([batch.column(c).to_numpy() for c in GROUP])
+        starts = np.flatnonzero((names[:, 1:] != names[:, :-1]).any(axis=0)) + 1
+        edges = [0, *starts.tolist(), batch.num_rows]
+        if left and last != tuple(names[:, 0]):
+            yield pa.concat_tables(left)
+            left = []
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            if a:
+                yield pa.concat_tables(left)
+                left = []
+            left.append(rows.slice(a, b - a))
+        last = tuple(names[:, -1])
+    if left:
+        yield pa.concat_tables(left)
+
+
+def _open_pairs(group: pa.Table, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """`(row, other rows)` of a group that may be alike: across components, and across blocks where it has two.
+
+    The parities of two sets differ in no more bits than elements are in one of the sets only.
+    """
+    n, root, own = (group.column(c).to_numpy() for c in ("n", "root", "own"))
+    words = np.frombuffer(b"".join(group.column("parity").to_pylist()), dtype=np.uint64).reshape(len(n), -1)
+    two = group.column("i")[0].as_py() != group.column("j")[0].as_py()
+    for k in range(len(n) - 1):
+        others = np.arange(k + 1, len(n))
+        open_ = root[others] != root[k]
+        if two:
+            open_ &= own[others] != own[k]
+        open_ &= 100 * np.minimum(n[others], n[k]) >= percent * np.maximum(n[others], n[k])
+        others = others[open_]
+        if len(others):
+            apart = np.bitwise_count(words[others] ^ words[k]).sum(axis=1, dtype=np.int64)
+            # 100 * both >= percent * (n + m - both) with 2 * both = n + m - apart
+            others = others[(100 + percent) * apart <= (100 - percent) * (n[others] + n[k])]
+        if len(others):
+            yield k, others
+
+
+def _sift(percent: int):
+    """The rows of a group that are in an open pair."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches):
+            wanted = np.zeros(group.num_rows, dtype=bool)
+            for k, others in _open_pairs(group, percent):
+                wanted[k] = True
+                wanted[others] = True
+            if wanted.any():
+                yield from group.filter(pa.array(wanted)).combine_chunks().to_batches()
+
+    return run
+
+
+def _settle(percent: int):
+    """Links that join, with what is joined before, all rows of a group that its open pairs do: a forest, not all pairs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches):
+            _, part = np.unique(group.column("root").to_numpy(), return_inverse=True)
+            sets = [np.frombuffer(v, dtype=np.uint64) for v in group.column("hashes").to_pylist()]
+            reps = group.column("rep").to_numpy()
+            found = []
+            for k, others in _open_pairs(group, percent):
+                for other in others:
+                    if part[k] != part[other]:
+                        x, y = sets[k], sets[other]
+                        both = len(np.intersect1d(x, y, assume_unique=True))
+                        if 100 * both >= percent * (len(x) + len(y) - both):
+                            part[part == part[other]] = part[k]
+                            found.append(sorted((int(reps[k]), int(reps[other]))))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([f[e] for f in found], pa.int64()) for e in (0, 1)], names=["a", "b"])
+
+    return run
+
+
+def rest(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame | None:
+    """Links `(a, b)` that join all components with a link between members `(key, rep, n)` of one bucket; None if every
+    bucket lies in one component.
+
+    Large buckets are cut into blocks by hash, and all pairs of blocks compared. Bitmaps go to every bucket, full sets
+    only to those where a pair is still open.
+    """
+    roots = labels.select(F.col("node").alias("rep"), "root")
+    known = cut(members.select("key", "rep", "n").join(roots, "rep", "left").withColumn("root", F.coalesce("root", "rep")))
+    blocks = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks")
+    mixed = known.groupBy("key").agg(blocks, F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key", "blocks")
+    rows = known.join(mixed, "key").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    rows = rows.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "rep", "n", "root")
+
+    def grouped(some: DataFrame) -> DataFrame:
+        return some.repartition(*GROUP).sortWithinPartitions(*GROUP)
+
+    parities = sets.mapInArrow(_parity, "rep bigint, parity binary")
+    shape = "key bigint, i int, j int, own int, rep bigint, n bigint, root bigint, parity binary"
+    near = rows.join(parities, "rep").select(*GROUP, "own", "rep", "n", "root", "parity")
+    near = cut(grouped(near).mapInArrow(_sift(percent), shape))
+    if near.isEmpty():
+        return None
+    full = near.join(sets, "rep").select(*GROUP, "own", "rep", "n", "root", "parity", "hashes")
+    return cut(grouped(full).mapInArrow(_settle(percent), "a bigint, b bigint").distinct())
+
+
 def links(docs: DataFrame, classes: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
     """`(node, root)` of the classes `(rep, n, c1, keys)` that have a link."""
     rows = classes.where(F.col("keys").isNotNull()).select("keys", "rep", "n").mapInArrow(_explode_keys, "key bigint, rep bigint, n bigint")
@@ -190,7 +318,10 @@ def links(docs: DataFrame, classes: DataFrame, percent: int = PERCENT, shingle:
         root = labels.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
         across = across.join(root, end, "left").withColumn(f"root_{end}", F.coalesce(f"root_{end}", end))
     more = cut(confirm(across.where("root_a <> root_b").select("a", "b"), sets, percent))
-    return components(edges.unionByName(more))
+    edges = edges.unionByName(more)
+    labels = components(edges)
+    last = rest(members, labels, sets, percent)
+    return labels if last is None else components(edges.unionByName(last))
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE, bands: int = BANDS, rows: int = ROWS) -> DataFrame:

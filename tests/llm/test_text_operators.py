@@ -118,6 +118,22 @@ def test_near_duplicates_through_chains(spark):
     same([tuple(r) for r in found.collect()], near_duplicates(chain))
 
 
+@pytest.mark.parametrize("block", [neardup.BLOCK, 16])
+def test_near_duplicates_without_their_original(spark, monkeypatch, block):
+    """Independently edited copies, about as alike as the limit; no copy is near to most others."""
+    monkeypatch.setattr(neardup, "BLOCK", block)
+    rng = random.Random(1)
+    copies = []
+    for i in range(150):
+        copy = [f"v{k}" for k in range(200)]
+        for at in rng.sample(range(200), 4):
+            copy[at] = f"x{rng.randrange(10**6)}"
+        copies.append((i, " ".join(copy)))
+    expected = near_duplicates(copies)
+    assert sum(r[3] for r in expected) < 150
+    same([tuple(r) for r in neardup.near_duplicates(spark.createDataFrame(copies, "doc_id long, text string")).collect()], expected)
+
+
 def test_densified_signatures_estimate_similarity():
     rng = np.random.default_rng(2)
     base = np.unique(rng.integers(0, 1 << 63, 300).astype(np.uint64))
