@@ -206,10 +206,10 @@ def explanation_report(spark: SparkSession, folder: str) -> DataFrame:
 def sampled_shapley(spark: SparkSession, folder: str) -> DataFrame:
     """Attribution of a fitted logistic model to no_payment, for every account; mean |value| per feature."""
     frame = ml.training_frame(accounts(spark, folder), PREDICTORS, "payment_status", "customer_id")
-    fitted = ml.logistic(frame.count(), maxIter=50).fit(frame)
+    fitted = ml.logistic(frame.count()).fit(frame)
     model = PipelineModel([VectorAssembler(inputCols=PREDICTORS, outputCol="features"), fitted])
     rows = accounts(spark, folder).select("customer_id", *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in PREDICTORS])
-    values = ex.sampled_shapley(rows, "customer_id", PREDICTORS, model, ex.column_means(rows, PREDICTORS), permutations=2, class_index=1)
+    values = ex.sampled_shapley(rows, "customer_id", PREDICTORS, model, ex.column_means(rows, PREDICTORS), class_index=1)
     return values.groupBy("feature").agg(
         F.count(F.lit(1)).alias("rows"), F.avg(F.abs("shap_value")).alias("importance"), F.avg("shap_value").alias("mean_value")
     )

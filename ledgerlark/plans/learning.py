@@ -76,7 +76,7 @@ def iterative_impute(spark: SparkSession, folder: str) -> DataFrame:
         F.when(key % 7 != 0, F.col("l_extendedprice")).alias("l_extendedprice"),
         "l_tax",
     )
-    filled = ml.iterative_impute(df, ["l_quantity", "l_extendedprice", "l_tax"], rounds=5)
+    filled = ml.iterative_impute(df, ["l_quantity", "l_extendedprice", "l_tax"])
     return filled.agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(F.col("l_quantity").isNull().cast("int")).alias("missing_quantity"),
@@ -97,6 +97,14 @@ def pca_variance(spark: SparkSession, folder: str) -> DataFrame:
     return spread.select("component", "mean", "variance", ratio[F.col("component")].alias("explained"))
 
 
+# all models with their presets; search points override them
+BUILDS = {
+    "random_forest": lambda train, **p: ml.random_forest(**p),
+    "boosted_trees": lambda train, **p: ml.BoostedPerClass(3, **p),
+    "logistic": lambda train, **p: ml.logistic(train.count(), **p),
+}
+
+
 def _frame(spark: SparkSession, folder: str) -> DataFrame:
     return ml.training_frame(accounts(spark, folder), PREDICTORS, "payment_status", "customer_id")
 
@@ -125,7 +133,7 @@ def logit_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def gbt_scores(spark: SparkSession, folder: str) -> DataFrame:
-    return _scores(spark, folder, lambda train: ml.BoostedPerClass(3, maxIter=10, maxDepth=4), "boosted_trees")
+    return _scores(spark, folder, lambda train: ml.BoostedPerClass(3), "boosted_trees")
 
 
 @query()
@@ -137,11 +145,7 @@ def model_comparison(spark: SparkSession, folder: str) -> DataFrame:
     )
     balanced = ml.training_frame(nn.smote(flat, "payment_status", "id", PREDICTORS), PREDICTORS, "payment_status", "id")
     train, test = ml.scaled(balanced, test)
-    builds = {
-        "random_forest": ml.random_forest(numTrees=20, maxDepth=6),
-        "boosted_trees": ml.BoostedPerClass(3, maxIter=5, maxDepth=3),
-        "logistic": ml.logistic(train.count(), maxIter=100),
-    }
+    builds = {name: build(train) for name, build in BUILDS.items()}
     scored = ml.validate(builds, train, test)
     ranked = ranking.rank_models(scored)
     return ranked.withColumn("selection_score", ranking.selection_score())
@@ -149,19 +153,19 @@ def model_comparison(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def param_search(spark: SparkSession, folder: str) -> DataFrame:
-    """Four seeded draws of the logistic grid, three stratified folds each."""
+    """All points of every model's grid, three stratified folds each."""
     df = ft.stratified_folds(_frame(spark, folder), "label", "id", 3)
-    points = ml.draw_points(ml.GRIDS["logistic"], 4)
-    return ml.search(df, lambda train, **p: ml.logistic(train.count(), maxIter=100, **p), points, range(3))
+    points = [{"model": name, **p} for name, grid in ml.GRIDS.items() for p in ml.grid_points(grid)]
+    return ml.search(df, lambda train, model, **p: BUILDS[model](train, **p), points, range(3))
 
 
 @query()
 def cv_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    """Five time-ordered folds by latest order date (here days overdue, oldest first)."""
+    """Every model over five time-ordered folds by latest order date (here days overdue, oldest first)."""
     df = _frame(spark, folder)
     dated = df.withColumn("age", -vector_to_array("features")[PREDICTORS.index("days_overdue")])
     folds = ft.time_folds(dated, ["age", "id"], 5).drop("age")
-    return ml.cross_validate(folds, lambda train: ml.logistic(train.count(), maxIter=100), range(5), "logistic", expanding=True)
+    return ml.fold_metrics(ml.fit_folds(folds, BUILDS, range(5), expanding=True))
 
 
 @query()

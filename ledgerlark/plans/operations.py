@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerlark.functions.clock import as_utc, utc_naive
 from ledgerlark.functions.rules import pick
+from ledgerlark.operators import models as ml
 from ledgerlark.operators import oplog
 from ledgerlark.operators.experiments import assign_variant
 from ledgerlark.plans.registry import query
@@ -206,7 +207,7 @@ def stream_scores(spark: SparkSession, folder: str) -> DataFrame:
     model = Pipeline(stages=[
         StringIndexer(inputCol="l_returnflag", outputCol="label", stringOrderType="alphabetAsc"),
         VectorAssembler(inputCols=inputs, outputCol="features"),
-        LogisticRegression(family="multinomial", maxIter=20),
+        LogisticRegression(family="multinomial", maxIter=ml.PRESETS["logistic"]["maxIter"]),
     ]).fit(items)
     stream = jobs.table_stream(spark, folder, "lineitem")
     at = F.lit("2001-08-01 10:30:00").cast("timestamp_ntz")
