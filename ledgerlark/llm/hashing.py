@@ -7,6 +7,7 @@ Used inside tasks only. A word is a run of bytes other than ASCII white space (0
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 
@@ -44,6 +45,17 @@ def _power(base: int, n: int) -> np.ndarray:
     return have
 
 
+def pieces(data: bytes, size: int = PIECE) -> Iterator[bytes]:
+    """A text in pieces that end at white space, each of `size` bytes or little more unless a run is longer."""
+    at = 0
+    while at < len(data):
+        end = at + size
+        while end < len(data) and data[end] not in _SPACE:
+            end += 1
+        yield data[at:end]
+        at = end
+
+
 def word_bounds(buffer: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Start and end offsets of the words of a byte array."""
     inside = np.zeros(len(buffer) + 2, dtype=bool)

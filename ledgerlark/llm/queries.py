@@ -8,10 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlark.llm import bpe, decontaminate, licenses, linededup, merkle, mtree, neardup, quality, substringdedup, toxicity
+from ledgerlark.llm import (
+    bpe, decontaminate, filteraudit, fillmiddle, licenses, linededup, merkle, mtree, neardup, quality, substringdedup, tokenfiles, toxicity,
+)
 from ledgerlark.llm.tables import table
+from ledgerlark.session import run_dir
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+WORD_VOCABULARY, END_ID = "word_bpe_49k.json", 2
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -86,3 +90,30 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_minhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, folder, "documents"))
+
+
+@query
+def op11_packed_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """All texts as files of packed ids, and what is read back from them."""
+    files = run_dir(spark, "tokens")
+    tokenfiles.write_tokens(table(spark, folder, "documents"), files, public_tokenizers.path(WORD_VOCABULARY), END_ID)
+    return tokenfiles.token_checks(spark, files)
+
+
+@query
+def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filteraudit.filter_audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+ORACLE["op12_filter_audit"] = filteraudit.ORACLE_SQL
+
+
+@query
+def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts stored in frames, their outputs made from these, and digests of the outputs and of what they restore."""
+    frames = run_dir(spark, "frames")
+    fillmiddle.store(table(spark, folder, "documents")).write.parquet(frames)
+    return fillmiddle.digests(fillmiddle.transform(spark.read.parquet(frames)))
+
+
+ORACLE["op13_fill_in_middle"] = fillmiddle.ORACLE_SQL
