@@ -6,10 +6,10 @@ Used inside tasks only. A word is a run of bytes other than ASCII white space (0
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import xxhash
 
 PIECE = 1 << 20  # bytes hashed at once; bounds the working memory for very long documents
 _SPACE = frozenset(b" \t\n\v\f\r")
@@ -30,21 +30,6 @@ def numbers(seed: int, n: int) -> np.ndarray:
     return mix(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(_BASE) + np.uint64(seed))
 
 
-_STEP = 0x2545F4914F6CDD1D
-_BACK = pow(_STEP, -1, 1 << 64)
-_powers: dict[int, np.ndarray] = {}
-
-
-def _power(base: int, n: int) -> np.ndarray:
-    """1, base, base^2, ... modulo 2^64, at least `n` of them."""
-    have = _powers.get(base)
-    if have is None or len(have) < n:
-        factors = np.full(max(n, 1 << 16), base, dtype=np.uint64)
-        factors[0] = 1
-        have = _powers[base] = np.cumprod(factors, dtype=np.uint64)
-    return have
-
-
 def pieces(data: bytes, size: int = PIECE) -> Iterator[bytes]:
     """A text in pieces that end at white space, each of `size` bytes or little more unless a run is longer."""
     at = 0
@@ -65,44 +50,12 @@ def word_bounds(buffer: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def word_hashes(data: bytes) -> np.ndarray:
-    """One 64-bit hash per word, in order."""
-    if len(data) <= PIECE:
-        return _piece_hashes(data)
-    parts, at = [], 0
-    while at < len(data):
-        end = min(at + PIECE, len(data))
-        while end < len(data) and data[end] not in _SPACE:
-            end += 1
-        parts.append(_piece_hashes(data[at:end]))
-        at = end
-    return np.concatenate(parts)
-
-
-def _piece_hashes(data: bytes) -> np.ndarray:
-    buffer = np.frombuffer(data, dtype=np.uint8)
-    starts, ends = word_bounds(buffer)
-    if not len(starts):
-        return np.zeros(0, dtype=np.uint64)
-    if ends[-1] > 2 * PIECE:  # a word beyond a piece: no table of that length
-        return np.array([_long_word(data[s:e]) for s, e in zip(starts, ends, strict=True)], dtype=np.uint64)
-    return _sums(buffer, starts, ends)
-
-
-def _long_word(word: bytes) -> int:
-    if len(word) > PIECE:
-        return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-    buffer = np.frombuffer(word, dtype=np.uint8)
-    return int(_sums(buffer, np.array([0]), np.array([len(word)]))[0])
-
-
-def _sums(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Polynomials of the bytes of each range, from one running sum."""
-    n = len(buffer)
-    total = np.empty(n + 1, dtype=np.uint64)
-    total[0] = 0
-    np.cumsum(buffer * _power(_STEP, n)[:n], out=total[1:])
-    sums = (total[ends] - total[starts]) * _power(_BACK, n)[starts]
-    return mix(sums + (ends - starts).astype(np.uint64) * np.uint64(_BASE))
+    """One 64-bit hash per word, in order: XXH3 of its bytes, by one rule for words of any length."""
+    parts = []
+    for piece in pieces(data):
+        words = piece.split()
+        parts.append(np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=len(words)))
+    return np.concatenate(parts) if parts else np.zeros(0, dtype=np.uint64)
 
 
 def sequence_hashes(hashes: np.ndarray, n: int, seed: int = 1) -> np.ndarray:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.llm.hashing import mix, numbers, sequence_hashes, word_hashes
-from ledgerlark.llm.tables import cut
+from ledgerlark.llm.tables import stored
 
 SHINGLE = 3
 PERCENT = 85  # linked if 100 * intersection >= PERCENT * union
@@ -88,16 +88,17 @@ def _sign(shingle: int, bands: int, rows: int):
                 # two sums over the set, in all 128 bits that tell sets apart
                 marks = [[int(mix(s * f).sum(dtype=np.uint64).view(np.int64)) for f in content] for s in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [some.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), *[pa.array([m[i] for m in marks], pa.int64()) for i in (0, 1)], pa.array(keys, pa.binary())],
-                    names=["doc_id", "n", "c1", "c2", "keys"],
+                    [some.column("doc_id"), some.column("t"), pa.array([len(s) for s in sets], pa.int64()), *[pa.array([m[i] for m in marks], pa.int64()) for i in (0, 1)], pa.array(keys, pa.binary())],
+                    names=["doc_id", "t", "n", "c1", "c2", "keys"],
                 )
 
     return run
 
 
 def signatures(docs: DataFrame, shingle: int = SHINGLE, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """`(doc_id, n, c1, c2, keys)`: set size, content marks and bucket keys of every text; narrow."""
-    return docs.select("doc_id", "text").mapInArrow(_sign(shingle, bands, rows), "doc_id bigint, n bigint, c1 bigint, c2 bigint, keys binary")
+    """`(doc_id, t, n, c1, c2, keys)`: hash of the text, set size, content marks and bucket keys of every text; narrow."""
+    texts = docs.select("doc_id", F.xxhash64("text").alias("t"), "text")
+    return texts.mapInArrow(_sign(shingle, bands, rows), "doc_id bigint, t bigint, n bigint, c1 bigint, c2 bigint, keys binary")
 
 
 def _explode_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,26 +114,21 @@ def _explode_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """`(rep, hashes)` of the classes in `wanted` (rep, c1), from the texts of their smallest ids."""
+    """`(rep, hashes)`, one row for each class in `wanted` (rep, t), from the text `t` of its smallest id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        factor = numbers(13, 1) | np.uint64(1)
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 some = batch.slice(at, 1024)
-                sets = [shingle_set(t.as_py(), shingle) for t in some.column("text")]
-                own = [int(mix(s * factor[0]).sum(dtype=np.uint64).view(np.int64)) == c.as_py() for s, c in zip(sets, some.column("c1"), strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [some.column("rep").filter(pa.array(own)), pa.array([s.tobytes() for s, o in zip(sets, own, strict=True) if o], pa.binary())],
-                    names=["rep", "hashes"],
-                )
+                sets = [shingle_set(t.as_py(), shingle).tobytes() for t in some.column("text")]
+                yield pa.RecordBatch.from_arrays([some.column("rep"), pa.array(sets, pa.binary())], names=["rep", "hashes"])
 
-    texts = docs.select(F.col("doc_id").alias("rep"), "text").join(wanted.select("rep", "c1"), "rep")
-    return texts.select("rep", "c1", "text").mapInArrow(run, "rep bigint, hashes binary")
+    texts = docs.select(F.col("doc_id").alias("rep"), F.xxhash64("text").alias("t"), "text").join(wanted.select("rep", "t"), ["rep", "t"])
+    return texts.dropDuplicates(["rep", "t"]).select("rep", "text").mapInArrow(run, "rep bigint, hashes binary")
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The pairs `(a, b)` whose full sets are similar enough."""
+    """The ends `(x, y)` of the pairs `(a, b, x, y)` whose full sets are similar enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -141,11 +137,11 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFr
                 x, y = (np.frombuffer(v.as_py(), dtype=np.uint64) for v in (left, right))
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 linked.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(linked, pa.bool_())) for c in ("a", "b")], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(linked, pa.bool_())) for c in ("x", "y")], names=["a", "b"])
 
     left = sets.select(F.col("rep").alias("a"), F.col("hashes").alias("left"))
     right = sets.select(F.col("rep").alias("b"), F.col("hashes").alias("right"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(run, "a bigint, b bigint")
+    return pairs.join(left, "a").join(right, "b").select("x", "y", "left", "right").mapInArrow(run, "a bigint, b bigint")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -153,8 +149,8 @@ def components(edges: DataFrame) -> DataFrame:
 
     Every round a node takes the smallest root among its neighbours and then its root's root, so paths halve.
     """
-    both = cut(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = cut(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("root")))
+    both = stored(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("root")))
     total = None
     while True:
         weight = labels.agg(F.sum(F.col("root").cast("decimal(38,0)"))).first()[0]
@@ -164,7 +160,17 @@ def components(edges: DataFrame) -> DataFrame:
         near = both.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(F.min("root").alias("near"))
         lower = labels.join(near, F.col("node") == F.col("a")).select("node", F.least("root", "near").alias("root"))
         roots = labels.select(F.col("node").alias("root"), F.col("root").alias("next"))
-        labels = cut(lower.join(roots, "root").select("node", F.least("root", "next").alias("root")))
+        labels = stored(lower.join(roots, "root").select("node", F.least("root", "next").alias("root")))
+
+
+def merged(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """`labels` after its roots are joined by `edges` between them; a node without a label is its own root."""
+    if edges.isEmpty():
+        return labels
+    lowest = components(edges).select(F.col("node").alias("root"), F.col("root").alias("lowest"))
+    known = labels.join(lowest, "root", "left").select("node", F.coalesce("lowest", "root").alias("root"))
+    new = lowest.select(F.col("root").alias("node"), F.col("lowest").alias("root")).join(labels, "node", "left_anti")
+    return stored(known.unionByName(new))
 
 
 def _similar_sizes(percent: int):
@@ -246,13 +252,13 @@ def _sift(percent: int):
 
 
 def _settle(percent: int):
-    """Links that join, with what is joined before, all rows of a group that its open pairs do: a forest, not all pairs."""
+    """Links between roots that join all rows of a group that its open pairs do: a forest, not all pairs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches):
-            _, part = np.unique(group.column("root").to_numpy(), return_inverse=True)
+            roots = group.column("root").to_numpy()
+            _, part = np.unique(roots, return_inverse=True)
             sets = [np.frombuffer(v, dtype=np.uint64) for v in group.column("hashes").to_pylist()]
-            reps = group.column("rep").to_numpy()
             found = []
             for k, others in _open_pairs(group, percent):
                 for other in others:
@@ -261,7 +267,7 @@ def _settle(percent: int):
                         both = len(np.intersect1d(x, y, assume_unique=True))
                         if 100 * both >= percent * (len(x) + len(y) - both):
                             part[part == part[other]] = part[k]
-                            found.append(sorted((int(reps[k]), int(reps[other]))))
+                            found.append(sorted((int(roots[k]), int(roots[other]))))
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array([f[e] for f in found], pa.int64()) for e in (0, 1)], names=["a", "b"])
 
@@ -269,14 +275,14 @@ def _settle(percent: int):
 
 
 def rest(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame | None:
-    """Links `(a, b)` that join all components with a link between members `(key, rep, n)` of one bucket; None if every
-    bucket lies in one component.
+    """Links `(a, b)` between roots that join all components with a link between members `(key, rep, n)` of one bucket;
+    None if every bucket lies in one component.
 
     Large buckets are cut into blocks by hash, and all pairs of blocks compared. Bitmaps go to every bucket, full sets
     only to those where a pair is still open.
     """
     roots = labels.select(F.col("node").alias("rep"), "root")
-    known = cut(members.select("key", "rep", "n").join(roots, "rep", "left").withColumn("root", F.coalesce("root", "rep")))
+    known = stored(members.select("key", "rep", "n").join(roots, "rep", "left").withColumn("root", F.coalesce("root", "rep")))
     blocks = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks")
     mixed = known.groupBy("key").agg(blocks, F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key", "blocks")
     rows = known.join(mixed, "key").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
@@ -289,54 +295,52 @@ def rest(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int =
     parities = sets.mapInArrow(_parity, "rep bigint, parity binary")
     shape = "key bigint, i int, j int, own int, rep bigint, n bigint, root bigint, parity binary"
     near = rows.join(parities, "rep").select(*GROUP, "own", "rep", "n", "root", "parity")
-    near = cut(grouped(near).mapInArrow(_sift(percent), shape))
+    near = stored(grouped(near).mapInArrow(_sift(percent), shape))
     if near.isEmpty():
         return None
     full = near.join(sets, "rep").select(*GROUP, "own", "rep", "n", "root", "parity", "hashes")
-    return cut(grouped(full).mapInArrow(_settle(percent), "a bigint, b bigint").distinct())
+    return stored(grouped(full).mapInArrow(_settle(percent), "a bigint, b bigint").distinct())
 
 
 def links(docs: DataFrame, classes: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
     """`(node, root)` of the classes `(rep, n, c1, keys)` that have a link."""
     rows = classes.where(F.col("keys").isNotNull()).select("keys", "rep", "n").mapInArrow(_explode_keys, "key bigint, rep bigint, n bigint")
     busy = rows.groupBy("key").agg(F.count(F.lit(1)).alias("mates"), F.min("rep").alias("low"), F.max("rep").alias("high"))
-    members = cut(rows.join(busy.where("low < high").select("key", "mates"), "key"))  # buckets of several classes
+    members = stored(rows.join(busy.where("low < high").select("key", "mates"), "key"))  # buckets of several classes
     degrees = members.groupBy("rep").agg(F.sum("mates").alias("degree"))
-    sets = cut(shingle_sets(docs, degrees.join(classes.select("rep", "c1"), "rep"), shingle))
+    sets = stored(shingle_sets(docs, degrees.join(classes.select("rep", "t"), "rep"), shingle))
     members = members.select("key", "rep", "n").join(degrees, "rep")
     row, rep = F.struct(F.col("rep").alias("other"), F.col("n").alias("m"), F.col("degree").alias("rank")), F.col("rep")
     orders = [F.struct("degree", -rep), rep, -rep, F.xxhash64(rep)]
     centres = members.groupBy("key").agg(F.array_distinct(F.array(*[F.max_by(row, o) for o in orders])).alias("centres"))
     stars = members.join(centres, "key").select("rep", "n", F.explode("centres").alias("c")).select("rep", "n", "c.*")
     a, b = F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")
-    pairs = cut(stars.where((rep != F.col("other")) & _similar_sizes(percent)).select(a, b, "rep", "other", "rank").distinct())
+    pairs = stored(stars.where((rep != F.col("other")) & _similar_sizes(percent)).select(a, b, "rep", "other", "rank").distinct())
     best = pairs.groupBy("rep").agg(F.max_by("other", F.struct("rank", -F.col("other"))).alias("other")).select(a, b).distinct()
-    edges = cut(confirm(best, sets, percent))
-    labels = components(edges)
+    ends = [F.col("a").alias("x"), F.col("b").alias("y")]
+    labels = components(stored(confirm(best.select("a", "b", *ends), sets, percent)))
     across = pairs.select("a", "b").distinct().join(best, ["a", "b"], "left_anti")
-    for end in "ab":
-        root = labels.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
-        across = across.join(root, end, "left").withColumn(f"root_{end}", F.coalesce(f"root_{end}", end))
-    more = cut(confirm(across.where("root_a <> root_b").select("a", "b"), sets, percent))
-    edges = edges.unionByName(more)
-    labels = components(edges)
+    for end, name in zip("ab", "xy", strict=True):
+        root = labels.select(F.col("node").alias(end), F.col("root").alias(name))
+        across = across.join(root, end, "left").withColumn(name, F.coalesce(name, end))
+    labels = merged(labels, stored(confirm(across.where("x <> y"), sets, percent)))
     last = rest(members, labels, sets, percent)
-    return labels if last is None else components(edges.unionByName(last))
+    return labels if last is None else merged(labels, last)
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """`(doc_id, n_shingles, component_id, kept)` for every row of `docs`."""
-    signed = cut(signatures(docs, shingle, bands, rows))
-    classes = cut(
+    signed = stored(signatures(docs, shingle, bands, rows))
+    classes = stored(
         signed.where(F.col("n") > 0)
-        .groupBy("c1", "c2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys"))
+        .groupBy("c1", "c2").agg(F.min("doc_id").alias("rep"), F.min_by("t", "doc_id").alias("t"), F.first("n").alias("n"), F.first("keys").alias("keys"))
         .where(F.col("rep").isNotNull())
     )
     labels = links(docs, classes, percent, shingle)
     roots = classes.join(labels, F.col("rep") == F.col("node"), "left").select("c1", "c2", F.coalesce("root", "rep").alias("component"))
     # rows of one id that fall into several components join them
     placed = signed.select("doc_id", "n", "c1", "c2").join(roots, ["c1", "c2"], "left").withColumn("component", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")))
-    placed = cut(placed.select("doc_id", F.col("n").alias("n_shingles"), "component"))
+    placed = stored(placed.select("doc_id", F.col("n").alias("n_shingles"), "component"))
     spread = placed.groupBy("doc_id").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b")
     if not spread.isEmpty():
         joined = placed.join(spread.select("doc_id", "a"), "doc_id").select("a", F.col("component").alias("b")).where("a < b")

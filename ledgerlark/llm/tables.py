@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlark.session import materialise
+from ledgerlark.session import materialise, run_dir
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -17,6 +17,13 @@ def cut(df: DataFrame) -> DataFrame:
     return materialise(df)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Cuts the lineage by a table in the shared folder. Many small parts are read back by few tasks."""
+    path = run_dir(df.sparkSession, "rows")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def remainder(column: str, divisor: int) -> Column:
     """crc32 of the column as text, modulo `divisor`."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % divisor

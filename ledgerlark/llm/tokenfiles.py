@@ -290,8 +290,8 @@ def read_tokens(spark: SparkSession, folder: str, wanted: DataFrame, size: int =
     Only the segments that hold a wanted document are joined, and of these only the blocks that it touches are decoded.
     """
     places = document_index(spark, folder).join(wanted.select("doc_id").distinct(), "doc_id")
-    last = F.floor((F.col("first") + F.col("n_tokens") - 1) / size)
-    places = places.withColumnRenamed("first", "place").withColumn("segment", F.explode(F.sequence(F.floor(F.col("place") / size), last)).cast("int"))
+    first, last = (F.floor(c / size) for c in (F.col("place"), F.col("place") + F.col("n_tokens") - 1))
+    places = places.withColumnRenamed("first", "place").withColumn("segment", F.explode(F.sequence(first.cast("int"), last.cast("int"))))
     rows = places.join(spark.read.parquet(folder).select("part", "segment", "first", "data"), ["part", "segment"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -316,25 +316,30 @@ def join_crc(a: int, b: int, n: int) -> int:
     return zeros ^ none ^ b
 
 
-def _crc_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each stretch of a document in a segment its crc32 and size; `whole` if the document lies in this segment."""
-    for batch in batches:
-        for k in range(batch.num_rows):
-            part, segment, first, n, opened, docs, data = (batch.column(c)[k].as_py() for c in ("part", "segment", "first", "n", "open", "docs", "data"))
-            ids = memoryview(unpack(data).astype("<u4").tobytes())
-            if opened is not None:
-                docs = [*docs, {"doc_id": None, "start": opened, "n": first + n - opened}]
-            stretches = [(max(d["start"], first), d["start"] + d["n"]) for d in docs]
-            crcs = [zlib.crc32(ids[4 * (a - first) : 4 * (b - first)]) for a, b in stretches]
-            whole = [d["start"] >= first for d in docs]
-            if opened is not None:
-                whole[-1] = False
-            columns = {
-                "part": pa.array([part] * len(docs), pa.int32()), "first": pa.array([d["start"] for d in docs], pa.int64()), "segment": pa.array([segment] * len(docs), pa.int32()),
-                "doc_id": pa.array([d["doc_id"] for d in docs], pa.int64()), "n": pa.array([d["n"] for d in docs], pa.int64()),
-                "crc": pa.array(crcs, pa.int64()), "size": pa.array([4 * (b - a) for a, b in stretches], pa.int64()), "whole": pa.array(whole, pa.bool_()),
-            }
-            yield pa.RecordBatch.from_pydict(columns)
+def _crc_pieces(whole: bool):
+    """Crc32 and size of each document that lies in a segment, or of each stretch of one that reaches over its ends."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                part, segment, first, n, opened, docs, data = (batch.column(c)[k].as_py() for c in ("part", "segment", "first", "n", "open", "docs", "data"))
+                docs = [d for d in docs if (d["start"] >= first) == whole]
+                if not whole and opened is not None:
+                    docs.append({"doc_id": None, "start": opened, "n": first + n - opened})
+                stretches = [(max(d["start"], first), d["start"] + d["n"]) for d in docs]
+                if whole:
+                    ids = memoryview(unpack(data).astype("<u4").tobytes())
+                    crcs = [zlib.crc32(ids[4 * (a - first) : 4 * (b - first)]) for a, b in stretches]
+                else:
+                    crcs = [zlib.crc32(unpack(data, a - first, b - first).astype("<u4").tobytes()) for a, b in stretches]
+                columns = {
+                    "part": pa.array([part] * len(docs), pa.int32()), "first": pa.array([d["start"] for d in docs], pa.int64()), "segment": pa.array([segment] * len(docs), pa.int32()),
+                    "doc_id": pa.array([d["doc_id"] for d in docs], pa.int64()), "n": pa.array([d["n"] for d in docs], pa.int64()),
+                    "crc": pa.array(crcs, pa.int64()), "size": pa.array([4 * (b - a) for a, b in stretches], pa.int64()),
+                }
+                yield pa.RecordBatch.from_pydict(columns)
+
+    return run
 
 
 def token_checks(spark: SparkSession, folder: str) -> DataFrame:
@@ -344,11 +349,10 @@ def token_checks(spark: SparkSession, folder: str) -> DataFrame:
     each of their stretches.
     """
     segments = spark.read.parquet(folder)
-    shape = "part int, first bigint, segment int, doc_id bigint, n bigint, crc bigint, size bigint, whole boolean"
-    found = segments.mapInArrow(_crc_pieces, shape)
+    shape = "part int, first bigint, segment int, doc_id bigint, n bigint, crc bigint, size bigint"
     stretches = F.array_sort(F.collect_list(F.struct("segment", "crc", "size"))).alias("stretches")
     # a document's own row is the one of its last segment
-    pieces_of = found.where(~F.col("whole")).groupBy("part", "first").agg(F.max_by("doc_id", "segment").alias("doc_id"), F.max_by("n", "segment").alias("n"), stretches)
+    pieces_of = segments.mapInArrow(_crc_pieces(False), shape).groupBy("part", "first").agg(F.max_by("doc_id", "segment").alias("doc_id"), F.max_by("n", "segment").alias("n"), stretches)
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -361,6 +365,6 @@ def token_checks(spark: SparkSession, folder: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("part", "first", "doc_id", "n")), pa.array(crcs, pa.int64())], names=["part", "first", "doc_id", "n", "crc"])
 
     joined = pieces_of.mapInArrow(fold, "part int, first bigint, doc_id bigint, n bigint, crc bigint")
-    rows = found.where("whole").select("part", "first", "doc_id", "n", "crc").unionByName(joined)
+    rows = segments.mapInArrow(_crc_pieces(True), shape).select("part", "first", "doc_id", "n", "crc").unionByName(joined)
     starts = F.broadcast(_part_starts(segments))
     return rows.join(starts, "part").select("doc_id", (F.col("before") + F.col("first")).alias("start"), F.col("n").alias("n_tokens"), F.col("crc").alias("ids_crc32"))

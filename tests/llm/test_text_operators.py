@@ -73,6 +73,34 @@ def test_word_hashes_follow_words_only():
     assert len({int(x) for x in word_hashes(b" ".join(f"{a}{b}".encode() for a in "abcdefgh" for b in "abcdefgh"))}) == 64
 
 
+def thue_morse(n: int) -> tuple[str, str]:
+    """Two different words that agree in every polynomial modulo a power of two."""
+    bits = [bin(k).count("1") % 2 for k in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_different_words_have_different_hashes(spark):
+    one, other = thue_morse(1024)
+    tail = " ".join(f"w{k}" for k in range(12))
+    assert word_hashes(one.encode())[0] != word_hashes(other.encode())[0]
+    texts = [(1, f"{one} {tail}"), (2, f"{other} {tail}"), (3, f"x y {one}"), (4, f"x y {other}")]
+    table = spark.createDataFrame(texts, "doc_id long, text string")
+    same([tuple(r) for r in substringdedup.substring_dedup(table).collect()], substring_dedup(texts))
+    same([tuple(r) for r in neardup.near_duplicates(table).collect()], near_duplicates(texts))
+
+
+@pytest.mark.parametrize("size", [1000, PIECE, PIECE + PIECE // 2, 3 * PIECE])
+def test_equal_words_have_equal_hashes_wherever_they_start(spark, size):
+    word = "x" * size
+    before = " ".join(["y"] * (9 * PIECE // 20))
+    assert word_hashes(word.encode())[0] == word_hashes(f"{before} {word}".encode())[-1]
+    tail = " ".join(f"w{k}" for k in range(12))
+    texts = [(1, f"{word} {tail}"), (2, f"{before} {word} {tail}"), (3, f"{word} {tail}")]
+    table = spark.createDataFrame(texts, "doc_id long, text string")
+    same([tuple(r) for r in substringdedup.substring_dedup(table).collect()], substring_dedup(texts))
+    assert [r.kept for r in neardup.near_duplicates(table).orderBy("doc_id").collect()] == [True, True, False]
+
+
 def test_contamination(spark, docs, rows):
     texts = dict(rows)
     items = [(1, texts[-5]), (2, "Two WORDS"), (3, None), (4, "..."), (5, texts[500]), (6, texts[-5]), (None, "word"), (8, " ".join(texts[801].split()[3:20])), (9, "a b a b a b a b a b a b a b a b")]

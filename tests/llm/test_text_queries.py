@@ -16,13 +16,13 @@ CODEC = bpe.Codec(corpus_pipeline.public_tokenizers.path(corpus_pipeline.VOCABUL
 @pytest.fixture(scope="module")
 def database(folder):
     connection = duckdb.connect()
-    for name in ("documents", "benchmark", "pages", "embeddings"):
+    for name in ("documents", "benchmark", "pages", "embeddings", "labels"):
         connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet'")
     return connection
 
 
-def test_ten_queries():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == [*range(1, 11)]
+def test_thirteen_queries():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == [*range(1, 14)]
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
