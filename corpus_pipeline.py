@@ -17,6 +17,7 @@ from ledgerlark.session import run_dir
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+SHINGLE, PERCENT = 5, 80
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,9 +33,10 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates. Rows without an id stay, and rows that share
+    """The document with the smallest id of each group of near duplicates, by runs of five words and a similarity of 0.8.
+    Rows without an id stay, and rows that share
     one stay or go together."""
-    kept = neardup.near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    kept = neardup.near_duplicates(docs, PERCENT, SHINGLE).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
     named = docs.select(*COLUMNS).join(kept, "doc_id", "left_semi")
     return named.select(*COLUMNS).unionByName(docs.where("doc_id IS NULL").select(*COLUMNS))
 
