@@ -54,8 +54,8 @@ def shingles(text, n=3):
     return {tuple(w[k : k + n]) for k in range(len(w) - n + 1)} if len(w) >= n else {tuple(w)} - {()}
 
 
-def near_duplicates(docs, percent=85):
-    sets = [(doc, shingles(text)) for doc, text in docs]
+def near_duplicates(docs, percent=85, n=3):
+    sets = [(doc, shingles(text, n)) for doc, text in docs]
     parent = {doc: doc for doc, _ in sets if doc is not None}
 
     def find(x):

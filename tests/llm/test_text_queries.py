@@ -83,7 +83,7 @@ def test_pipeline_stages(spark, folder):
         expected = [
             lambda: [(d, t) for d, t in given if scores[d]],
             lambda: [(d, t) for d, t, n, gone in line_dedup(given) if not n or gone < n],
-            lambda: [(d, t) for (d, t), r in zip(given, near_duplicates(given), strict=True) if r[3]],
+            lambda: [(d, t) for (d, t), r in zip(given, near_duplicates(given, 80, 5), strict=True) if r[3]],
             lambda: [(d, t) for (d, t), r in zip(given, contamination(given, benchmark), strict=True) if not r[5]],
         ][number]()
         assert sorted(texts(found)) == sorted(expected) and 0 < len(expected) <= len(given)
