@@ -5,20 +5,25 @@ from __future__ import annotations
 import itertools
 import random
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
+import pandas as pd
 from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ledgerlark.operators import boosting
 from ledgerlark.operators import metrics as m
-from ledgerlark.operators.features import class_weights, ordinal_codes, ordinal_encode
+from ledgerlark.operators.features import class_weights, ordinal_codes, ordinal_encode, stratified_folds
+from ledgerlark.operators.fitted import TableModel
 from ledgerlark.operators.ordered import small_side
 from ledgerlark.session import materialise
 
@@ -26,7 +31,7 @@ DEFAULT_CONFIDENCE = 0.5
 # Preset parameters and search grids.
 PRESETS = {
     "random_forest": {"numTrees": 100, "maxDepth": 10, "minInstancesPerNode": 2, "featureSubsetStrategy": "sqrt"},
-    "boosted_trees": {"maxIter": 100, "maxDepth": 6, "stepSize": 0.1, "subsamplingRate": 0.8},
+    "boosted_trees": {"maxIter": 100, "maxDepth": 6, "stepSize": 0.1, "subsamplingRate": 0.8, "featureShare": 0.8, "alpha": 0.1, "ridge": 1.0},
     "logistic": {"C": 1.0, "maxIter": 1000},
 }
 GRIDS = {
@@ -36,6 +41,7 @@ GRIDS = {
 }
 SEED = 42
 PARALLEL_FITS = 4
+TEST = -1  # the fold of test rows in a prediction table
 
 
 def training_frame(df: DataFrame, features: Sequence[str], target: str, id_column: str) -> DataFrame:
@@ -81,41 +87,58 @@ def logistic(rows: int, C: float = 1.0, maxIter: int = 1000, **params) -> Estima
 
 
 class BoostedPerClass(Estimator):
-    """Gradient-boosted trees for more than two classes: one binary model per class, probabilities normalised."""
+    """Gradient-boosted trees for any number of classes: one tree per class and round, see `boosting`."""
 
     def __init__(self, classes: int, **params):
         super().__init__()
         self.classes, self.options = classes, {**PRESETS["boosted_trees"], **params}
 
+    def candidate(self, name: str = "", fold: int | None = None, expanding: bool = False) -> boosting.Candidate:
+        o = self.options
+        return boosting.Candidate(
+            name, o["maxIter"], o["maxDepth"], o["stepSize"], o["subsamplingRate"], o["featureShare"], o["alpha"], o["ridge"], fold=fold, expanding=expanding
+        )
+
     def _fit(self, df: DataFrame) -> BoostedPerClassModel:
-        fitted = []
-        for c in range(self.classes):
-            binary = df.withColumn("is_class", (F.col("label") == float(c)).cast("double"))
-            learner = GBTClassifier(labelCol="is_class", weightCol="weight", seed=SEED, **self.options)
-            fitted.append(learner.fit(binary))
-        return BoostedPerClassModel(fitted)
+        (trees,) = boosting.train(df, [self.candidate()], self.classes, SEED)
+        return BoostedPerClassModel.of(trees, df.sparkSession)
 
 
-class BoostedPerClassModel(Model):
-    def __init__(self, models: Sequence = ()):
-        super().__init__()
-        self.models = list(models)
+class BoostedPerClassModel(TableModel):
+    """`table` has a row `(round, class, node, feature, threshold, value)` for each node of each tree."""
+
+    SCHEMA = "round int, class int, node int, feature int, threshold double, value double"
+
+    @classmethod
+    def of(cls, trees: boosting.Trees, session: SparkSession) -> BoostedPerClassModel:
+        rounds, classes = trees.feature.shape[:2]
+        model = cls({"rounds": rounds, "classes": classes}, session.createDataFrame(trees.rows(), cls.SCHEMA))
+        model._trees = trees
+        return model
+
+    def trees(self) -> boosting.Trees:
+        """Bounded by rounds, classes and depth, whatever the data."""
+        if getattr(self, "_trees", None) is None:
+            rows = [tuple(r) for r in self.table.select("round", "class", "node", "feature", "threshold", "value").collect()]
+            self._trees = boosting.Trees.of_rows(rows, self.fitted()["rounds"], self.fitted()["classes"])
+        return self._trees
+
+    def stage(self, rounds: int) -> BoostedPerClassModel:
+        """The model of the first rounds alone."""
+        first = self.table.where(F.col("round") < rounds)
+        return BoostedPerClassModel({**self.fitted(), "rounds": min(rounds, self.fitted()["rounds"])}, first)
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        out, names = df, []
-        for c, model in enumerate(self.models):
-            name = f"__p{c}"
-            one = model.copy().setPredictionCol("").setRawPredictionCol("").setProbabilityCol(name)
-            out = one.transform(out).withColumn(name, vector_to_array(name)[1])
-            names.append(name)
-        total = sum((F.col(n) for n in names[1:]), F.col(names[0]))
-        shares = F.array(*[F.coalesce(F.try_divide(F.col(n), total), F.lit(1.0 / len(names))) for n in names])
+        trees = self.trees()
+
+        @F.pandas_udf("array<double>")
+        def shares(vectors: pd.Series) -> pd.Series:
+            x = np.array(vectors.to_list(), dtype=np.float64).reshape(len(vectors), -1)
+            return pd.Series(list(boosting.probabilities(trees.margins(x))), dtype=object)
+
         best = F.array_position(F.col("__shares"), F.array_max("__shares")) - 1
-        return (
-            out.withColumn("__shares", shares)
-            .withColumns({"probability": array_to_vector("__shares"), "prediction": best.cast("double")})
-            .drop(*names, "__shares")
-        )
+        out = df.withColumn("__shares", shares(vector_to_array("features")))
+        return out.withColumns({"probability": array_to_vector("__shares"), "prediction": best.cast("double")}).drop("__shares")
 
 
 def score(model: Model, df: DataFrame, keep: Sequence[str] = ("id", "label")) -> DataFrame:
@@ -161,27 +184,44 @@ def fit_folds(
     expanding: bool = False,
     parallelism: int = PARALLEL_FITS,
 ) -> DataFrame:
-    """Out-of-fold predictions `(model, fold, label, prediction)` of several candidates in one table.
+    """Out-of-fold predictions `(model, fold, id, label, prediction, probability, confidence)` of several candidates, in
+    one table that is written once.
 
-    `df` carries a `fold` column. Scalers are fitted inside the training part, once per fold. Fits are
-    independent Spark jobs, so a few run at a time to fill the cluster. Expanding folds train on earlier
-    folds (and fold -1) only.
+    `df` carries a `fold` column. Scalers are fitted inside the training part, once per fold, and both parts are
+    written. Fits are independent Spark jobs, so a few run at a time to fill the cluster; boosted models of all
+    candidates and folds are grown together, and one is scored at every number of rounds that is asked for.
+    Expanding folds train on earlier folds (and fold -1) only.
     """
 
     def prepare(fold: int) -> tuple[DataFrame, DataFrame]:
         train = df.where(F.col("fold") < fold) if expanding else df.where(F.col("fold") != fold)
-        return tuple(scaled(dealt(train), df.where(F.col("fold") == fold)))
+        # written once: every candidate's fit and score reads these tables
+        return tuple(materialise(part) for part in scaled(dealt(train), df.where(F.col("fold") == fold)))
 
     parts = dict(zip(folds, _parallel(prepare, list(folds), parallelism, df)))
     tasks = [(name, fold) for name in builds for fold in folds]
-    fitted = _parallel(lambda t: builds[t[0]](parts[t[1]][0]).fit(parts[t[1]][0]), tasks, parallelism, df)
-    out = None
-    for (name, fold), model in zip(tasks, fitted):
-        scored = score(model, parts[fold][1], ["label", "fold"]).select(
-            F.lit(name).alias("model"), "fold", F.col("label").cast("int").alias("label"), "prediction"
-        )
-        out = scored if out is None else out.unionByName(scored)
-    return out
+    built = {task: builds[task[0]](parts[task[1]][0]) for task in tasks}
+    boosted = [t for t in tasks if isinstance(built[t], BoostedPerClass)]
+    others = [t for t in tasks if t not in boosted]
+    fitted = _parallel(lambda t: built[t].fit(parts[t[1]][0]), others, parallelism, df) if others else []
+    kept = ["fold", "id", "label"]
+    out = []
+    for (name, fold), model in zip(others, fitted):
+        out.append(score(model, parts[fold][1], kept).select(F.lit(name).alias("model"), *_as_scored(df)))
+    if boosted:  # trees do not depend on the scale, and all candidates grow together
+        candidates = [built[t].candidate(t[0], t[1], expanding) for t in boosted]
+        fits, stages = boosting.with_stages(candidates)
+        trees = boosting.train(df, fits, built[boosted[0]].classes, SEED)
+        scored = boosting.held_out(df, candidates, trees, stages).withColumn("confidence", F.array_max("probability"))
+        best = (F.array_position("probability", F.array_max("probability")) - 1).cast("int")
+        out.append(scored.withColumn("prediction", best).select("model", *_as_scored(df)))
+    return materialise(reduce(DataFrame.unionByName, out))
+
+
+def _as_scored(df: DataFrame) -> list[Column]:
+    """The columns of a prediction table besides the model."""
+    kinds = {"fold": "int", "id": df.schema["id"].dataType.simpleString(), "label": "int", "prediction": "int"}
+    return [*[F.col(c).cast(t).alias(c) for c, t in kinds.items()], F.col("probability"), F.col("confidence")]
 
 
 def _parallel(work: Callable, items: Sequence, parallelism: int, df: DataFrame) -> list:
@@ -198,6 +238,41 @@ def fold_metrics(predictions: DataFrame) -> DataFrame:
     return m.averages(m.class_report(m.confusion(predictions, keys), keys), keys)
 
 
+def predictions_of(
+    builds: Mapping[str, Callable[[DataFrame], Estimator]], train: DataFrame, test: DataFrame, folds: int, parallelism: int = PARALLEL_FITS
+) -> DataFrame:
+    """Every prediction that a validation needs, written once: out of fold for the training rows (fold 0 and up, dealt
+    by label), and of models fitted on all training rows for the test rows (fold `TEST`)."""
+    dealt_out = stratified_folds(train, "label", "id", folds)
+    inside = fit_folds(dealt_out, builds, range(folds), parallelism=parallelism)
+    train, test = (materialise(part) for part in scaled(train, test))
+    estimators = {name: build(train) for name, build in builds.items()}
+    fitted = _parallel(lambda name: estimators[name].fit(train), list(estimators), parallelism, train)
+    test = test.withColumn("fold", F.lit(TEST))
+    out = [score(model, test, ["fold", "id", "label"]).select(F.lit(name).alias("model"), *_as_scored(test)) for name, model in zip(estimators, fitted)]
+    return materialise(reduce(DataFrame.unionByName, out, inside))
+
+
+def validation_report(predictions: DataFrame) -> DataFrame:
+    """One row per model: all test metrics, mean and spread of the folds, Brier score and calibration error (means over
+    classes), and the confidence of right and wrong predictions. Every number is a grouping of the prediction table."""
+    test = predictions.where(F.col("fold") == TEST)
+    inside = fold_metrics(predictions.where(F.col("fold") != TEST))
+    names = ("f1_weighted", "accuracy")
+    spread = [f.alias(f"cv_{c}_{kind}") for c in names for f, kind in ((F.avg(c), "mean"), (F.stddev_pop(c), "std"))]
+    bins = m.calibration(test)
+    gap = F.abs(F.col("mean_predicted") - F.col("fraction_positive"))
+    # each class weighs by its rows in the bin; every class has all rows
+    error = bins.groupBy("model").agg((F.sum(gap * F.col("n")) / F.sum("n")).alias("calibration_error"))
+    parts = [
+        inside.groupBy("model").agg(*spread, F.count(F.lit(1)).alias("folds")),
+        m.brier(test).groupBy("model").agg(F.avg("brier").alias("brier")),
+        error,
+        m.confidence_profile(test).select("model", F.col("mean").alias("confidence_mean"), "correct_mean", "incorrect_mean", "separation", "high_pct", "high_accuracy"),
+    ]
+    return reduce(lambda left, right: left.join(right, "model"), parts, evaluate(test))
+
+
 def cross_validate(
     df: DataFrame, build: Callable[[DataFrame], Estimator], folds: Sequence[int], name: str, expanding: bool = False
 ) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Exact k-nearest-neighbour join, and the two operators that need it: kNN imputation and SMOTE.
+"""k-nearest-neighbour joins, exact or by random-projection buckets, and what needs them: kNN imputation and SMOTE.
 
 Donors are split into cells around a bounded set of pivots. Each query gets an upper bound of its
 k-th distance from the pivot distances alone and then visits only cells that can hold something
@@ -11,12 +11,13 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField, StructType
 from pyspark.sql.window import Window
 
 from ledgerlark.functions.hashing import hash_number, hash_uniform
@@ -98,7 +99,10 @@ def nearest(queries: DataFrame, donors: DataFrame, k: int, id_column: str = "id"
     @F.pandas_udf(ArrayType(IntegerType()))
     def cells_to_visit(vectors: pd.Series) -> pd.Series:
         d = _distances(_stack(vectors), pivots)
-        bound = np.partition(d[:, anchor_cell] + anchor_away[None, :], nth, axis=1)[:, nth]
+        bound = np.empty(len(d))
+        step = max(1, CHUNK_CELLS // len(anchor_cell))  # rows x (pivots x k) numbers at once
+        for at in range(0, len(d), step):
+            bound[at : at + step] = np.partition(d[at : at + step, anchor_cell] + anchor_away, nth, axis=1)[:, nth]
         bound = bound * (1 + 1e-9) + 1e-12
         to_cell = d[:, cells]
         least = np.maximum(np.maximum(to_cell - high, low - to_cell), 0.0)
@@ -123,6 +127,17 @@ def nearest(queries: DataFrame, donors: DataFrame, k: int, id_column: str = "id"
         F.explode(F.sequence(F.lit(0), per_cell(groups) - 1)).alias("grp"),
     )
 
+    keys = ["cell", "block", "grp"]
+    found = asks.groupBy(*keys).cogroup(offers.groupBy(*keys)).applyInPandas(_best_of_block(k), result_type)
+    rank = F.row_number().over(Window.partitionBy("q").orderBy("distance", "neighbour_id"))
+    return found.withColumn("rank", rank).where(F.col("rank") <= k).select(
+        F.col("q").alias("query_v"), "neighbour_id", "distance", "rank"
+    )
+
+
+def _best_of_block(k: int):
+    """The k nearest offered rows for each asking one, exact; ties to the smaller id."""
+
     def best_of_block(asking: pd.DataFrame, offered: pd.DataFrame) -> pd.DataFrame:
         parts = {"q": [], "neighbour_id": [], "distance": []}
         if len(asking) and len(offered):
@@ -141,17 +156,113 @@ def nearest(queries: DataFrame, donors: DataFrame, k: int, id_column: str = "id"
                     parts["distance"].extend(row[chosen].tolist())
         return pd.DataFrame(parts)
 
-    keys = ["cell", "block", "grp"]
-    found = asks.groupBy(*keys).cogroup(offers.groupBy(*keys)).applyInPandas(best_of_block, result_type)
-    rank = F.row_number().over(Window.partitionBy("q").orderBy("distance", "neighbour_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select(
-        F.col("q").alias("query_v"), "neighbour_id", "distance", "rank"
+    return best_of_block
+
+
+@dataclass(frozen=True)
+class Hashing:
+    """Random-projection buckets: `tables` independent ones, each over `directions` projections cut at their quantiles so
+    that a bucket holds about `leaf` donors; a query looks into its `probes` nearest buckets of each table."""
+
+    tables: int = 4
+    directions: int = 3
+    leaf: int = 32
+    probes: int = 6
+    seed: int = 42
+
+
+def _buckets(places: DataFrame, pool: DataFrame, rows: int, how: Hashing) -> tuple[DataFrame, DataFrame]:
+    """`(q, tbl, cell)` of the buckets that queries look into, and `(id, v, tbl, cell)` of those that donors lie in."""
+    width = len(pool.first()["v"])
+    flat = min(how.directions, width)
+    cuts = max(2, round((rows / how.leaf) ** (1 / flat)))
+    rng = np.random.default_rng(how.seed)
+    axes = np.concatenate([np.linalg.qr(rng.normal(size=(width, width)))[0][:, :flat] for _ in range(how.tables)], axis=1)
+
+    @F.pandas_udf(ArrayType(DoubleType()))
+    def projected(vectors: pd.Series) -> pd.Series:
+        return pd.Series(list(_stack(vectors) @ axes), dtype=object)
+
+    names = [f"p{i}" for i in range(axes.shape[1])]
+    wide = pool.select(projected("v").alias("p")).select(*[F.col("p")[i].alias(c) for i, c in enumerate(names)])
+    edges = np.array(wide.approxQuantile(names, [i / cuts for i in range(1, cuts)], 0.001)).reshape(how.tables, flat, cuts - 1)
+    scale = cuts ** np.arange(flat)[::-1]
+
+    @F.pandas_udf(ArrayType(LongType()))
+    def own(vectors: pd.Series) -> pd.Series:
+        y = (_stack(vectors) @ axes).reshape(len(vectors), how.tables, flat)
+        at = np.stack([np.stack([np.searchsorted(edges[t, f], y[:, t, f]) for f in range(flat)], axis=1) @ scale for t in range(how.tables)], axis=1)
+        return pd.Series(list(at), dtype=object)
+
+    @F.pandas_udf(ArrayType(ArrayType(LongType())))
+    def nearby(vectors: pd.Series) -> pd.Series:
+        """The buckets nearest by their distance along the projections. Only the few nearest bins of each count."""
+        y = (_stack(vectors) @ axes).reshape(len(vectors), how.tables, flat)
+        few = min(cuts, how.probes)
+        out = []
+        for t in range(how.tables):
+            total, cell = np.zeros((len(y), 1)), np.zeros((len(y), 1), dtype=np.int64)
+            for f in range(flat):
+                low, high = np.append(-np.inf, edges[t, f]), np.append(edges[t, f], np.inf)
+                away = np.maximum(np.maximum(low - y[:, t, f, None], y[:, t, f, None] - high), 0.0)
+                near = np.argsort(away, axis=1, kind="stable")[:, :few]
+                total = (total[:, :, None] + np.take_along_axis(away, near, axis=1)[:, None, :] ** 2).reshape(len(y), -1)
+                cell = (cell[:, :, None] * cuts + near[:, None, :]).reshape(len(y), -1)
+            chosen = np.argsort(total, axis=1, kind="stable")[:, : how.probes]
+            out.append(np.take_along_axis(cell, chosen, axis=1))
+        return pd.Series([[row.tolist() for row in rows] for rows in np.stack(out, axis=1)], dtype=object)
+
+    asks = places.select("q", F.posexplode(nearby("q")).alias("tbl", "cells")).select("q", "tbl", F.explode("cells").alias("cell"))
+    offers = pool.select("id", "v", F.posexplode(own("v")).alias("tbl", "cell"))
+    return asks, offers
+
+
+def pairs_met(queries: DataFrame, donors: DataFrame, k: int, id_column: str, vector: str, how: Hashing = Hashing()) -> DataFrame:
+    """`(pairs, all_pairs)`: distances that the hashed search works out, against those of every query and donor."""
+    places = queries.select(F.col(vector).cast("array<double>").alias("q")).distinct()
+    pool = materialise(_distinct(donors, id_column, vector, k))
+    rows = pool.count()
+    asks, offers = _buckets(places, pool, rows, how)
+    sizes = offers.groupBy("tbl", "cell").agg(F.count(F.lit(1)).alias("n"))
+    met = asks.groupBy("tbl", "cell").agg(F.count(F.lit(1)).alias("m")).join(sizes, ["tbl", "cell"])
+    return met.agg(F.sum(F.col("n") * F.col("m")).alias("pairs"), F.lit(rows * places.count()).alias("all_pairs"))
+
+
+def nearest_hashed(queries: DataFrame, donors: DataFrame, k: int, id_column: str = "id", vector: str = "features", how: Hashing = Hashing()) -> DataFrame:
+    """As `nearest`, but only donors that share a bucket with the query are compared, so the work grows with the rows.
+
+    Distances are exact; a neighbour whose bucket is not looked into is missed. Vectors should be standardised. Busy
+    buckets are cut into blocks, as in the exact search.
+    """
+    places = queries.select(F.col(vector).cast("array<double>").alias("q")).distinct()
+    pool = materialise(_distinct(donors, id_column, vector, k))
+    rows = pool.count()
+    result_type = StructType(
+        [StructField("q", ArrayType(DoubleType())), StructField("neighbour_id", pool.schema["id"].dataType), StructField("distance", DoubleType())]
     )
+    if rows == 0:
+        empty = queries.sparkSession.createDataFrame([], result_type)
+        return empty.select(F.col("q").alias("query_v"), "neighbour_id", "distance", F.lit(0).alias("rank"))
+    asks, offers = _buckets(places, pool, rows, how)
+    cell = ["tbl", "cell"]
+    parts = F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int")
+    sizes = offers.groupBy(*cell).agg(parts.alias("blocks")).join(asks.groupBy(*cell).agg(parts.alias("groups")), cell)
+    sizes = materialise(sizes)  # buckets that both sides have
+    asks = asks.join(sizes, cell).select("q", *cell, F.pmod(F.xxhash64("q"), "groups").cast("int").alias("grp"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    offers = offers.join(sizes, cell).select("id", "v", *cell, F.pmod(F.xxhash64("v", "id"), "blocks").cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("grp"))
+    keys = [*cell, "block", "grp"]
+    found = asks.groupBy(*keys).cogroup(offers.groupBy(*keys)).applyInPandas(_best_of_block(k), result_type)
+    rank = F.row_number().over(Window.partitionBy("q").orderBy("distance", "neighbour_id"))
+    ranked = found.distinct().withColumn("rank", rank).where(F.col("rank") <= k)
+    return ranked.select(F.col("q").alias("query_v"), "neighbour_id", "distance", "rank")
 
 
-def neighbours_of(queries: DataFrame, donors: DataFrame, k: int, id_column: str, vector: str, same_table: bool = False) -> DataFrame:
-    """`(id, neighbour_id, distance, rank)`; with `same_table` a row is not its own neighbour."""
-    found = nearest(queries, donors, k + 1 if same_table else k, id_column, vector)
+def neighbours_of(
+    queries: DataFrame, donors: DataFrame, k: int, id_column: str, vector: str, same_table: bool = False, how: Hashing | None = None
+) -> DataFrame:
+    """`(id, neighbour_id, distance, rank)`; with `same_table` a row is not its own neighbour. `how` searches by buckets."""
+    some = k + 1 if same_table else k
+    found = nearest_hashed(queries, donors, some, id_column, vector, how) if how else nearest(queries, donors, some, id_column, vector)
     # at most k + 1 entries per distinct vector, so rows of a hot vector are joined to one short list
     listed = found.groupBy("query_v").agg(F.array_sort(F.collect_list(F.struct("rank", "neighbour_id", "distance"))).alias("near"))
     ids = queries.select(F.col(id_column).alias("id"), F.col(vector).cast("array<double>").alias("query_v"))
@@ -187,7 +298,7 @@ def numbered_copies(df: DataFrame, keep: Sequence[str], run: int = COPIES) -> Da
     return runs.repartition(*keep[:1], "__run").select(*keep, F.explode(F.sequence(F.col("__run") * run + 1, last)).alias("copy"))
 
 
-def smote(df: DataFrame, label: str, id_column: str, features: Sequence[str], k: int = 5, seed: int = 42) -> DataFrame:
+def smote(df: DataFrame, label: str, id_column: str, features: Sequence[str], k: int = 5, seed: int = 42, how: Hashing | None = None) -> DataFrame:
     """Original rows plus synthetic ones until all classes are as large as the largest.
 
     Every member of a small class gets its share of new points, each on the line to one of its k
@@ -203,7 +314,7 @@ def smote(df: DataFrame, label: str, id_column: str, features: Sequence[str], k:
         if need == 0:
             continue
         members = base.where(F.col(label) == value)
-        near = neighbours_of(members, members, k, "id", "x", same_table=True)
+        near = neighbours_of(members, members, k, "id", "x", same_table=True, how=how)
         # every member gets need // n copies, the first need % n in hash order one more
         spread = row_index(members.withColumn("h", hash_number(F.lit(str(seed)), "id")), [], ["h", "id"], "pos")
         copies = F.lit(need // n) + (F.col("pos") < need % n).cast("int")
