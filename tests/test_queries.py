@@ -12,7 +12,7 @@ from compare import connect, differences
 
 from ledgerlark.plans import ORACLE, QUERIES
 
-SLOW = {"rf_scores", "gbt_scores", "param_search", "model_comparison", "cv_metrics", "fitted_transforms"}
+SLOW = {"rf_scores", "gbt_scores", "param_search", "model_comparison", "cv_metrics", "fitted_transforms", "full_validation"}
 
 
 @pytest.fixture(scope="module")
