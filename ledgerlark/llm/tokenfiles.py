@@ -145,7 +145,10 @@ class Codec:
         except KeyError:
             pass
         ids = self._learn({*runs}.difference(self.known))
-        return b"".join([ids[r] if r in ids else self.known[r] for r in runs])
+        try:
+            return b"".join(map(self.known.__getitem__, runs))
+        except KeyError:  # long runs are not remembered
+            return b"".join([ids[r] if r in ids else self.known[r] for r in runs])
 
     def _learn(self, new: set[bytes]) -> dict[bytes, bytes]:
         """Ids of runs not known so far. A run of letters and a last stop is encoded as these two, so that `Word`,
@@ -171,7 +174,9 @@ class Codec:
                 ids += parts[tail] if tail in parts else self.known[tail]
             found[run] = ids
         found |= {run: parts[run] for run in wanted}
-        self.known.update((r, i) for r, i in (parts | found).items() if len(r) <= LONGEST)
+        for some in (parts, found):
+            short = max(map(len, some), default=0) <= LONGEST
+            self.known.update(some if short else {r: i for r, i in some.items() if len(r) <= LONGEST})
         return found
 
     def _runs(self, runs: list[bytes]) -> dict[bytes, bytes]:
