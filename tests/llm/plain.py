@@ -71,19 +71,21 @@ def near_duplicates(docs, percent=85, n=3):
     return [(doc, len(s), None if doc is None else find(doc), doc is None or find(doc) == doc) for doc, s in sets]
 
 
-def line_dedup(docs, run=2):
+def line_dedup(docs, run=2, words=13):
     place = lambda doc, k: (doc is None, doc or 0, k)
     first, kept = {}, []
     for doc, text in docs:
         parts = [] if text is None else text.split("\n")
         at = [k for k, x in enumerate(parts) if re.search(r"\S", x)]
-        kept.append((doc, text, parts, at))
-        for k in range(len(at) - run + 1):
-            key = tuple(parts[j] for j in at[k : k + run])
-            first[key] = min(first.get(key, place(doc, k)), place(doc, k))
+        runs = [tuple(range(k, k + run)) for k in range(len(at) - run + 1)]
+        runs += [(k,) for k, j in enumerate(at) if len(re.findall("[^\x20\x09-\x0d]+", parts[j])) >= words]
+        kept.append((doc, text, parts, at, runs))
+        for r in runs:
+            key = tuple(parts[at[k]] for k in r)
+            first[key] = min(first.get(key, place(doc, r[0])), place(doc, r[0]))
     out = []
-    for doc, text, parts, at in kept:
-        gone = {at[k + j] for k in range(len(at) - run + 1) if first[tuple(parts[i] for i in at[k : k + run])] < place(doc, k) for j in range(run)}
+    for doc, text, parts, at, runs in kept:
+        gone = {at[k] for r in runs if first[tuple(parts[at[j]] for j in r)] < place(doc, r[0]) for k in r}
         out.append((doc, None if text is None else "\n".join(x for k, x in enumerate(parts) if k not in gone), len(at), len(gone)))
     return out
 

@@ -181,6 +181,22 @@ def test_line_dedup(docs, empty, rows):
     assert linededup.line_dedup(empty).count() == 0
 
 
+def test_line_dedup_of_single_long_lines(spark):
+    """A line of 13 words is a run by itself, one of 12 is not; columns may have the names used inside."""
+    long, short = " ".join(f"w{k}" for k in range(13)), " ".join(f"v{k}" for k in range(12))
+    rows = [(1, f"a\n{long}\nb"), (2, f"c\n{long}\nd"), (3, long), (4, f"x\n{short}"), (5, f"y\n{short}"), (6, f"{long}\n\n {long}\n{long}")]
+    rows += [(7, long.replace(" ", "\t  ")), (8, "\t" + long.replace(" ", "\t  ")), (9, long.replace(" ", "\t  ")), (None, f"{short}\n{long}"), (10, "z" * 100_000 + " " + long), (11, "z" * 100_000 + " " + long)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for name in ("__gone", "__row", "__id", "__n_lines", "first", "size", "print", "place"):
+        docs = docs.selectExpr("*", f"'x' AS {name}")
+    found = linededup.line_dedup(docs.repartition(3))
+    assert "__gone" in found.columns and found.columns.count("__n_lines") == 1
+    same([tuple(r) for r in found.select("doc_id", "text", "__n_lines", "__n_removed").collect()], line_dedup(rows))
+    kept = {r.doc_id: r.text for r in found.collect()}
+    assert kept[2] == "c\nd" and kept[3] == "" and kept[5] == f"y\n{short}" and kept[6] == f"\n {long}"
+    same([tuple(r) for r in linededup.line_dedup(docs, 3, 5).select("doc_id", "text", "__n_lines", "__n_removed").collect()], line_dedup(rows, 3, 5))
+
+
 def test_token_digests(docs, empty, rows):
     codec = bpe.codec(PATH, PATTERN)
     ranks = {codec.bytes_of[k]: k for k in codec.bytes_of}
@@ -248,6 +264,8 @@ def test_merkle_audit(spark):
     same(found, audit(pages, replica))
     assert len(found) == 8
     assert merkle.audit(a, a.repartition(3)).count() == 0
+    plan = merkle.audit(a, b)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LeftSemi") == 2, "leaves of both sides are reduced before they are joined"
     assert merkle.audit(a.where("false"), a.where("false")).count() == 0
     same([(r.page_id, r.state) for r in merkle.audit(a.where("false"), b.where("page_id = 7")).collect()], [(7, "extra")])
 
