@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgerlark.llm.tables import cut
+from ledgerlark.operators.ordered import small_side
 
 BITS = 4  # 16 children
 
@@ -82,10 +83,14 @@ def audit(pages: DataFrame, replica: DataFrame) -> DataFrame:
     while len(second) < len(first):
         second.append(cut(parents(second[-1])))
 
-    def compare(level: int) -> DataFrame:
-        """Both sides of a level."""
-        a = first[level].select(F.col("id").alias("a"), "bytes", "digest")
-        b = second[level].select(F.col("id").alias("b"), F.col("digest").alias("replica_digest"))
+    def compare(level: int, held: DataFrame | None = None) -> DataFrame:
+        """Both sides of a level; of `held`, nodes of the level above, only their children."""
+        sides = [levels[level] for levels in (first, second)]
+        if held is not None:
+            near = small_side(held.select("above"))
+            sides = [s.join(near, F.shiftright("id", BITS).eqNullSafe(F.col("above")), "left_semi") for s in sides]
+        a = sides[0].select(F.col("id").alias("a"), "bytes", "digest")
+        b = sides[1].select(F.col("id").alias("b"), F.col("digest").alias("replica_digest"))
         joined = a.join(b, F.col("a").eqNullSafe(F.col("b")) & (F.col("digest").isNotNull()), "full")
         return joined.select(F.when(F.col("digest").isNotNull(), F.col("a")).otherwise(F.col("b")).alias("id"), "bytes", "digest", "replica_digest")
 
@@ -101,7 +106,7 @@ def audit(pages: DataFrame, replica: DataFrame) -> DataFrame:
     open_nodes = compare(top).withColumn("offset", start).where(F.lit(not same_root) & wrong)
     for level in range(top - 1, -1, -1):
         held = cut(open_nodes.select(F.col("id").alias("above"), F.col("offset").alias("from")))
-        children = compare(level).withColumn("up", F.shiftright("id", BITS)).join(held, F.col("up").eqNullSafe(F.col("above")))
+        children = compare(level, held).withColumn("up", F.shiftright("id", BITS)).join(held, F.col("up").eqNullSafe(F.col("above")))
         # sizes of earlier siblings: a sum over 16 rows at most
         before = F.sum(F.coalesce("bytes", F.lit(0))).over(Window.partitionBy("above").orderBy("id").rowsBetween(Window.unboundedPreceding, -1))
         placed = children.withColumn("offset", F.col("from") + F.coalesce(before, F.lit(0)))
