@@ -5,7 +5,8 @@ norm) and 0 for queries, turns the largest inner product into the smallest Eucli
 
 Equal vectors are one class with its `k + 1` smallest ids; more of them can never be among the best k. `PIVOTS`
 classes, the first by hash, are the routing objects at the top; each class belongs to the nearest. A cell of more than
-`SHARD` classes is split by hash. Each shard is an M-tree of pages: routing entries with covering radius and distance
+`SHARD` classes is split by hash, and where a cell is asked by more than `ASKING` queries, these are dealt over several
+copies of its shards; so no task holds more than a shard and a block of queries. Each shard is an M-tree of pages: routing entries with covering radius and distance
 to their parent, leaf entries with distance to theirs. Equal query vectors are searched once. A query first searches
 the cell it lies in; its k-th best score there closes whole cells, and inside a shard pages and single entries whose
 stored distances show that they cannot do better, without computing them. Ties go on to the smaller id, so bounds that
@@ -35,6 +36,7 @@ EVERY = 20
 K = 20
 PIVOTS = 16
 SHARD = 16_384
+ASKING = 16_384  # queries that one task answers from a shard, on average
 PAGE = 512  # entries of a leaf page, at most
 FANOUT = 64  # entries of a routing page, at most
 LARGEST = 1 << 20
@@ -212,7 +214,7 @@ def _search(width: int, top: float, k: int, kind: type):
 FOUND = "class string, score long, smallest long, ids array<long>"
 
 
-def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, pivots: int = PIVOTS, shard: int = SHARD, column: str = "embedding") -> DataFrame:
+def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, pivots: int = PIVOTS, shard: int = SHARD, asking: int = ASKING, column: str = "embedding") -> DataFrame:
     """`(query_id, rank, vec_id, score)`: for ids divisible by `every`, the `k` best other ids."""
     spark = vectors.sparkSession
     rows = whole_numbers(vectors, column)
@@ -241,9 +243,16 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, pivots: int = PIVO
     asked = rows.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "class").distinct()
     queries = placed.join(asked.select("class").distinct(), "class", "left_semi").select("class", "v", "cell")
 
-    def visit(asking: DataFrame, home: bool) -> DataFrame:
-        sent = asking.mapInArrow(_visits(middle, top, radii, parts, home), "class string, v array<long>, least double, cell int, part int")
-        return points.groupBy("cell", "part").cogroup(sent.groupBy("cell", "part")).applyInArrow(_search(width, top, k + 1, kind), FOUND)
+    def visit(who: DataFrame, home: bool) -> DataFrame:
+        sent = who.mapInArrow(_visits(middle, top, radii, parts, home), "class string, v array<long>, least double, cell int, part int")
+        # all shards of a cell get the same queries; one row per pivot
+        busy = dict(sent.where("part = 0").groupBy("cell").count().collect())
+        many = [max(math.ceil(busy.get(cell, 0) / asking), 1) for cell in range(len(middle))]
+        blocks = F.element_at(F.array(*[F.lit(n) for n in many]), F.col("cell") + 1)
+        keys = ["cell", "part", "block"]
+        copies = points.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        dealt = sent.withColumn("block", F.pmod(F.xxhash64("class", F.lit("block")), blocks).cast("int"))
+        return copies.groupBy(*keys).cogroup(dealt.groupBy(*keys)).applyInArrow(_search(width, top, k + 1, kind), FOUND)
 
     best = Window.partitionBy("class").orderBy(F.desc("score"), "smallest")
     at_home = cut(visit(queries.withColumn("least", F.lit(float("nan"))), True).withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1))
