@@ -1,9 +1,11 @@
 """License scan: a trained paragraph classifier with a calibrated unknown class, confirmed by template comparison.
 
-Paragraphs are lines with a word in them. Hashed single words and word pairs are the features of a multinomial
+Paragraphs are lines with a word in them. Long ones are judged in windows of `WINDOWS` words (and the pairs that begin in them) too, one every `STEP` words,
+and beyond the longest window by these only; each family is shown once in a paragraph, where it is closest. The families are those of `TEMPLATES`, ten in all; a licence of
+another family is `unknown`. Hashed single words and word pairs are the features of a multinomial
 logistic regression over licence families and `unknown`. It is trained on variants of the templates (shortened, with
-other words around) and, as unknown, on at most `NEGATIVES` lines of the `DOCUMENTS` documents that come first by hash
-of their id and resemble no template. A part of these rows, kept out of the fit, sets the temperature of the
+other words around) and, as unknown, on at most `NEGATIVES` lines, none longer than `CHARACTERS`, of the `DOCUMENTS`
+documents that come first by hash of their id, that resemble no template. A part of these rows, kept out of the fit, sets the temperature of the
 probabilities. A family with probability `LIKELY` or more is a finding; it is confirmed if the paragraph shares
 `SIMILAR` of the word pairs with a template of that family (of the shorter one's pairs).
 
@@ -30,6 +32,9 @@ BUCKETS = 1 << 14
 VARIANTS = 32  # of each template
 DOCUMENTS = 300
 NEGATIVES = 2_000
+CHARACTERS = 4_096
+WINDOWS = (16, 24, 64)  # words, in multiples of `STEP`
+STEP = 8
 LIKELY = 0.5
 SIMILAR = 0.6
 UNKNOWN = "unknown"
@@ -103,18 +108,38 @@ class LicenseModel:
     constants: np.ndarray
     temperature: float = 1.0
 
-    def logits(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """Line number and logits of each paragraph."""
-        lines, first, words, pairs = paragraph_features(text)
-        if not len(first):
-            return lines, np.zeros((0, len(self.constants)))
+    def whole(self, first: np.ndarray, words: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+        """Logits of the stretches that begin at `first`."""
         total = np.add.reduceat(self.weights[words] + self.weights[pairs], first, axis=0)
-        count = np.add.reduceat(1 + (pairs >= 0), first)
-        return lines, self.constants + total / np.sqrt(count)[:, None]
+        return self.constants + total / np.sqrt(np.add.reduceat(1 + (pairs >= 0), first))[:, None]
 
-    def probabilities(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        lines, logits = self.logits(text)
-        return lines, softmax(logits / self.temperature)
+    def logits(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each paragraph and window: number of the line, its first word and the one behind it (-1: all of a
+        paragraph), and logits."""
+        lines, first, words, pairs = paragraph_features(text)
+        if not len(first):
+            return lines, np.zeros((0, 2), dtype=np.int64), np.zeros((0, len(self.constants)))
+        sizes = np.diff(first, append=len(words))
+        short = np.flatnonzero(sizes <= max(WINDOWS))
+        # the last window of a paragraph may be shorter
+        found = [(lines[short], np.full((len(short), 2), -1), self.whole(first, words, pairs)[short])]
+        blocks = -(-sizes // STEP)
+        step = np.arange(blocks.sum()) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+        owner = np.repeat(np.arange(len(first)), blocks)
+        at = first[owner] + STEP * step
+        total = np.add.reduceat(self.weights[words] + self.weights[pairs], at, axis=0)
+        count = np.add.reduceat(1 + (pairs >= 0), at)
+        for size in WINDOWS:
+            n = size // STEP
+            start = np.flatnonzero((step <= blocks[owner] - n) & (sizes[owner] > size))
+            held = np.sqrt(sum(count[start + j] for j in range(n)))
+            span = np.stack([at[start], np.minimum(at[start] + size, (first + sizes)[owner[start]])], axis=1)
+            found.append((lines[owner[start]], span, self.constants + sum(total[start + j] for j in range(n)) / held[:, None]))
+        return tuple(np.concatenate([f[k] for f in found]) for k in range(3))
+
+    def probabilities(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        lines, span, logits = self.logits(text)
+        return lines, span, softmax(logits / self.temperature)
 
 
 def softmax(x: np.ndarray) -> np.ndarray:
@@ -156,10 +181,15 @@ def training_rows(lines: list[str], seed: int = 5) -> list[tuple[str, int, bool]
 def fit(docs: DataFrame) -> LicenseModel:
     """Train on template variants and a bounded sample of lines."""
     spark = docs.sparkSession
-    some = docs.where(F.col("text").isNotNull()).select("doc_id", "text").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(DOCUMENTS)
-    lines = some.select(F.explode(F.split("text", "\n")).alias("line")).where(F.col("line").rlike(r"\w")).distinct()
+    rows = docs.select("doc_id", "text").where(F.col("text").isNotNull()).withColumn("mark", F.xxhash64("text"))
+    # ids first, texts of these only: `DOCUMENTS` pairs of numbers
+    some = rows.select("doc_id", "mark").orderBy(F.xxhash64("doc_id"), "doc_id", "mark").limit(DOCUMENTS).distinct()
+    some = some.select(F.col("doc_id").alias("id"), F.col("mark").alias("same"))
+    near = rows.join(F.broadcast(some), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("mark") == F.col("same")), "left_semi")
+    short = F.filter(F.split("text", "\n"), lambda x: F.length(x) <= CHARACTERS)
+    lines = near.select(F.explode(short).alias("line")).where(F.col("line").rlike(r"\w")).distinct()
     negatives = [r["line"] for r in lines.orderBy(F.xxhash64("line"), "line").limit(NEGATIVES).collect()]
-    rows = training_rows(negatives)
+    samples = training_rows(negatives)
 
     def vector(text: str):
         _, _, words, pairs = paragraph_features(text.replace("\n", " "))
@@ -167,13 +197,13 @@ def fit(docs: DataFrame) -> LicenseModel:
         places, counts = np.unique(found, return_counts=True)
         return Vectors.sparse(BUCKETS, places.tolist(), (counts / np.sqrt(max(len(found), 1))).tolist())
 
-    data = spark.createDataFrame([(vector(t), float(y)) for t, y, held in rows if not held], ["features", "label"])
+    data = spark.createDataFrame([(vector(t), float(y)) for t, y, held in samples if not held], ["features", "label"])
     learner = LogisticRegression(family="multinomial", maxIter=60, regParam=1e-4, standardization=False)
     learnt = learner.fit(cut(data))
     weights = np.vstack([learnt.coefficientMatrix.toArray().T, np.zeros((1, len(FAMILIES)))]).astype(np.float32)
     model = LicenseModel(weights, learnt.interceptVector.toArray())
-    held = [(model.logits(t.replace("\n", " "))[1], y) for t, y, h in rows if h]
-    logits, truth = np.vstack([x for x, _ in held if len(x)]), np.array([y for x, y in held if len(x)])
+    held = [(paragraph_features(t.replace("\n", " "))[1:], y) for t, y, h in samples if h]
+    logits, truth = np.vstack([model.whole(*x) for x, _ in held if len(x[0])]), np.array([y for x, y in held if len(x[0])])
     losses = {t: -np.log(softmax(logits / t)[np.arange(len(truth)), truth] + 1e-12).mean() for t in np.geomspace(0.25, 4, 33)}
     model.temperature = float(min(losses, key=losses.get))
     return model
@@ -181,15 +211,24 @@ def fit(docs: DataFrame) -> LicenseModel:
 
 def findings(text: str | None, model: LicenseModel) -> tuple[int, list[dict]]:
     """Number of paragraphs, and the licences found in them."""
-    lines, p = model.probabilities(text)
+    lines, span, p = model.probabilities(text)
     best = p.argmax(axis=1) if len(p) else np.zeros(0, dtype=np.intp)
-    found, parts = [], None
+    found: dict[tuple[int, str], dict] = {}
+    parts, words = [], []
     for k in np.flatnonzero((best > 0) & (p.max(axis=1, initial=0) >= LIKELY)) if len(p) else ():
         parts = parts or text.split("\n")
-        paragraph, family = parts[lines[k]], FAMILIES[best[k]]
+        family, (start, end) = FAMILIES[best[k]], span[k]
+        if start < 0:
+            paragraph = parts[lines[k]]
+        else:
+            words = words or text.encode("utf-8", "replace").translate(_PLAIN).split()
+            paragraph = b" ".join(words[start:end]).decode("utf-8", "replace")
         close = similarity(paragraph, family)
-        found.append({"line": int(lines[k]), "family": family, "probability": float(p[k, best[k]]), "similarity": close, "confirmed": close >= SIMILAR, "paragraph": paragraph})
-    return len(lines), found
+        one = {"line": int(lines[k]), "family": family, "probability": float(p[k, best[k]]), "similarity": close, "confirmed": close >= SIMILAR, "paragraph": paragraph}
+        other = found.get((one["line"], family))
+        if other is None or (close, one["probability"]) > (other["similarity"], other["probability"]):
+            found[one["line"], family] = one
+    return len(np.unique(lines)), sorted(found.values(), key=lambda f: (f["line"], f["family"]))
 
 
 FINDING = "array<struct<line:int,family:string,probability:double,similarity:double,confirmed:boolean,paragraph:string>>"
