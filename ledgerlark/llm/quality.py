@@ -7,7 +7,7 @@ raw scores of a quarter of the sample, which takes no part in the equations, cal
 
 `score` is a narrow pass over all rows. A null or empty text has the statistics of an empty document and is
 scored like any other; without any usable label the score is 0.5. Rows with equal ids are scored one by one.
-Other columns of the input are ignored.
+A null id has a score and a null `held_out`. Other columns of the input are ignored.
 """
 
 from __future__ import annotations

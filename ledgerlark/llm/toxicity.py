@@ -2,20 +2,25 @@
 
 The lexicon is learnt: words and word beginnings ("stems") that labelled toxic texts have and clean ones lack, from
 a bounded sample (`SAMPLE` labelled documents of either class, near copies reduced to one), chosen greedily until
-each toxic text holds `COVER` of them or none is left. `LEXICON` bounds the number of terms.
+each toxic text holds `COVER` of them or none is left that `SUPPORT` texts still lack. All terms with support and lift
+are considered, and no number of terms is set: the sample bounds it. Words below a chosen stem stay beside it for the
+sake of their misspellings. Stems themselves and terms below five letters allow no edits, since too many clean words
+are one letter away from them.
 
 `Automaton` determinises the product of the trie with the edit automata of its terms: a state is the set of trie
 nodes a misspelled beginning may stand at, with the edits spent. Longer terms allow more edits. All words of a
-batch run through the table side by side, one letter per step. A hit inside quotation marks, or near a word of
+batch run through the table side by side, one letter per step. A large lexicon is several automata of `TERMS` terms each. A hit inside quotation marks, or near a word of
 reporting, counts as quotation and goes into columns of its own. A logistic model over the hit counts gives the
 score; its weights follow the true share of either class.
 
 Null and empty texts have no hits and get the score of a text without hits. Without labels of both kinds every
-score is 0. Rows with equal ids are scored one by one; other columns are ignored.
+score is 0. Rows with equal ids are scored one by one; a null id has a score and a null `held_out`; other columns
+are ignored.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
@@ -30,8 +35,7 @@ from ledgerlark.llm.hashing import sequence_hashes, word_hashes
 from ledgerlark.llm.tables import cut, labelled, remainder, training_texts
 
 SAMPLE = 3_000  # labelled documents of either class used for fitting, at most
-CANDIDATES = 2_000  # terms considered
-LEXICON = 120  # terms kept, at most
+TERMS = 120  # of one automaton
 COVER = 3
 SUPPORT = 3  # sampled toxic texts that hold a term, at least
 LIFT = 20  # times as common in toxic texts as in clean ones, at least
@@ -192,7 +196,7 @@ def pieces(text: str) -> Iterator[str]:
     yield text[at:]
 
 
-def hit_counts(text: str | None, automaton: Automaton) -> list[float]:
+def hit_counts(text: str | None, automaton: Automaton | Lexicon) -> list[float]:
     """Counts of exact and misspelled hits in abuse and in quotation, different terms, hits per word."""
     counts, terms, n = [0.0] * 4, set(), 0
     for part in pieces((text or "").lower()):
@@ -208,9 +212,28 @@ def hit_counts(text: str | None, automaton: Automaton) -> list[float]:
 COUNTS = 7
 
 
+class Lexicon:
+    """Automata over the terms in alphabetical order, `TERMS` in each, read as one."""
+
+    def __init__(self, terms: Iterable[str], size: int = TERMS):
+        self.terms = sorted(set(terms))
+        self.parts = [Automaton(self.terms[k : k + size]) for k in range(0, max(len(self.terms), 1), size)]
+        self.size = size
+
+    def find(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
+        """As of one automaton: a word that several know counts once, with the fewest edits."""
+        found = [part.find(text) for part in self.parts]
+        if len(found) == 1:
+            return found[0]
+        starts, ends, terms, costs = (np.concatenate([f[k] + (number * self.size if k == 2 else 0) for number, f in enumerate(found)]) for k in range(4))
+        order = np.lexsort((terms, costs, starts))
+        order = order[np.diff(starts[order], prepend=-1) > 0]
+        return starts[order], ends[order], terms[order], costs[order], found[0][4]
+
+
 @dataclass
 class ToxicityModel:
-    automaton: Automaton | None
+    automaton: Lexicon | None
     weights: np.ndarray | None = None
 
     def score(self, texts: Iterable[str | None]) -> np.ndarray:
@@ -220,22 +243,38 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(self.weights[0] + x @ self.weights[1:], -30, 30)))
 
 
-def choose_terms(holders: dict[str, list[int]], lexicon: int = LEXICON) -> list[str]:
-    """Greedy cover: terms in the order of the toxic texts that still lack `COVER` of them."""
+def choose_terms(holders: dict[str, list[int]]) -> list[str]:
+    """Greedy cover: terms in the order of the toxic texts that still lack `COVER` of them, then the whole words below
+    chosen stems that allow edits."""
     need: dict[int, int] = defaultdict(lambda: COVER)
-    left, chosen = {t: set(ids) for t, ids in holders.items()}, []
-    while left and len(chosen) < lexicon:
-        gain = {t: sum(need[i] > 0 for i in ids) for t, ids in left.items()}
-        # of equal gains: a whole word before a stem, then the longer one
-        best = max(gain, key=lambda t: (gain[t], not t.endswith("*"), len(t), t))
-        if gain[best] < SUPPORT:
-            break
-        chosen.append(best)
-        for i in left.pop(best):
+    rank = {t: k for k, t in enumerate(sorted(holders, key=lambda t: (not t.endswith("*"), len(t), t), reverse=True))}
+
+    def gain(term: str) -> int:
+        return sum(need[i] > 0 for i in set(holders[term]))
+
+    # of equal gains: a whole word before a stem, then the longer one. Gains only fall, so the top is worked out anew
+    queue = [(-gain(t), rank[t], t) for t in holders]
+    heapq.heapify(queue)
+    stems, shut, chosen = set(), set(), []
+    while queue:
+        before, place, term = heapq.heappop(queue)
+        root = term.rstrip("*")
+        if term in shut or any(root[:k] in stems for k in STEMS if k <= len(root)):
+            continue
+        now = -gain(term)
+        if -now < SUPPORT:
+            continue
+        if now != before:
+            heapq.heappush(queue, (now, place, term))
+            continue
+        chosen.append(term)
+        for i in set(holders[term]):
             need[i] -= 1
-        root = best.rstrip("*")
-        left = {t: ids for t, ids in left.items() if not (t.rstrip("*").startswith(root) and best.endswith("*")) and not (t.endswith("*") and root.startswith(t[:-1]))}
-    return chosen
+        if term.endswith("*"):
+            stems.add(root)
+        shut |= {f"{root[:k]}*" for k in STEMS}
+    below = {t for t in holders if not t.endswith("*") and edits_allowed(t, False) and any(t[:k] in stems for k in STEMS if k < len(t))}
+    return [*chosen, *sorted(below - set(chosen))]
 
 
 def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-2, rounds: int = 40) -> np.ndarray:
@@ -267,10 +306,9 @@ def _without_copies(rows: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array([m[k] for m in marks], pa.string()) for k in range(3)]], names=[*batch.schema.names, "a", "b", "c"])
 
     marked = rows.mapInArrow(smallest, "doc_id bigint, text string, y int, a string, b string, c string")
-    for mark in "abc":
-        # the smallest id of equal marks, so that a rerun keeps the same rows; the sample is bounded
-        marked = marked.groupBy("y", mark).agg(F.min_by(F.struct(*marked.columns), "doc_id").alias("row")).select("row.*")
-    return marked.select("doc_id", "text", "y")
+    # the smallest id of equal marks, so that a rerun keeps the same rows; the sample is bounded
+    alike = marked.groupBy("y", "a", "b", "c").agg(F.min_by(F.struct("doc_id", "text"), "doc_id").alias("row"))
+    return alike.select("row.doc_id", "row.text", "y")
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> ToxicityModel:
@@ -296,7 +334,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> ToxicityMod
         rows.mapInArrow(count, "term string, toxic bigint, clean bigint")
         .groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
         .where((F.col("toxic") >= SUPPORT) & (rate >= LIFT))
-        .orderBy(F.desc("toxic"), "term").limit(CANDIDATES).collect()
+        .collect()  # of the sample only
     )
     wanted = {r["term"] for r in terms}
 
@@ -308,7 +346,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> ToxicityMod
     holders = defaultdict(list)
     for r in rows.where("y = 1").mapInArrow(hold, "term string, doc_id bigint").toLocalIterator():  # of the sample only
         holders[r["term"]].append(r["doc_id"])
-    automaton = Automaton(choose_terms(holders))
+    automaton = Lexicon(choose_terms(holders))
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -227,8 +227,8 @@ def test_top_k(spark):
     own = [v for v in vectors if v[0] != 260] + [(260, [0.5] * 6)]
     table260 = table.where("vec_id <> 260 OR vec_id IS NULL").unionByName(table.where("vec_id = 260").limit(0))
     extra = spark.createDataFrame([(260, [0.5] * 6)], "vec_id long, embedding array<float>").selectExpr("*", "1 AS class", "2 AS cell", "3 AS ids", "4 AS v")
-    for pivots, shard in ((16, 16_384), (4, 16), (1, 50)):
-        found = mtree.top_k(table260.unionByName(extra), k=7, every=20, pivots=pivots, shard=shard)
+    for pivots, shard, asking in ((16, 16_384, 16_384), (4, 16, 2), (1, 50, 1)):
+        found = mtree.top_k(table260.unionByName(extra), k=7, every=20, pivots=pivots, shard=shard, asking=asking)
         same([tuple(r) for r in found.collect()], top_k(own, 7, 20))
     assert {r.query_id for r in mtree.top_k(table, k=7, every=20).collect()} >= {260}  # an id with two vectors
     assert mtree.top_k(table.where("false")).count() == 0
@@ -375,3 +375,47 @@ def test_license_scan(spark, docs, empty):
     assert sum(bool(r.families) for r in found) == 40
     assert {(r.n_paragraphs, r.families) for r in found if r.doc_id in (600, 601, 602)} == {(0, "")}
     assert licenses.license_scan(empty).count() == 0
+
+
+def test_license_in_a_long_line(spark):
+    """A notice is found wherever it stands in a line of thousands of words, and another one beside it."""
+    rng = random.Random(10)
+    words = prose(rng, 3000).replace("\n", " ").split()
+    rows = []
+    for k, at in enumerate((0, 17, 63, 500, 2999)):
+        line = [*words[:at], "Licensed under the Apache License, Version 2.0.", *words[at:]]
+        rows.append((k, "first line\n" + " ".join(line) + "\nlast line"))
+    rows.append((10, " ".join(words)))
+    rows.append((11, " ".join([*words[:700], "Released under the MIT License.", *words[700:], "Licensed under the Apache License, Version 2.0."])))
+    plain = [(100 + k, prose(rng, 60)) for k in range(60)]
+    table = spark.createDataFrame(rows + plain, "doc_id long, text string")
+    found = {r.doc_id: r for r in licenses.license_scan(table).collect()}
+    assert [found[k].families for k in range(5)] == ["Apache-2.0"] * 5 and found[0].n_paragraphs == 3
+    assert found[10].families == "" and found[11].families == "Apache-2.0,MIT"
+    model = licenses.fit(table)
+    for text in (rows[3][1], rows[10 - 4][1], plain[0][1]):  # every window by itself
+        lines, spans, p = model.probabilities(text)
+        _, _, words, pairs = licenses.paragraph_features(text)
+        for (start, end), q in zip(spans, p, strict=True):
+            if start >= 0:  # words, and pairs that begin in the window
+                n = end - start + (pairs[start:end] >= 0).sum()
+                alone = model.constants + (model.weights[words[start:end]] + model.weights[pairs[start:end]]).sum(axis=0) / np.sqrt(n)
+                assert end - start <= max(licenses.WINDOWS) and np.allclose(licenses.softmax(alone[None] / model.temperature)[0], q, atol=1e-3)
+
+
+def test_lexicon_of_several_automata():
+    rng = random.Random(11)
+    terms = sorted({"".join(rng.choice("abcde") for _ in range(rng.randrange(3, 11))) for _ in range(60)} | {"abcab*", "eddc*"})
+    text = " ".join("".join(rng.choice("abcde") for _ in range(rng.randrange(2, 12))) for _ in range(4000)) + " abcabzzz eddcx"
+    one, several = toxicity.Automaton(terms).find(text), toxicity.Lexicon(terms, 7).find(text)
+    assert one[4] == several[4] and len(one[0]) > 50
+    assert one[0].tolist() == several[0].tolist() and one[1].tolist() == several[1].tolist()
+    stems = np.isin(one[2], [k for k, t in enumerate(terms) if t.endswith("*")])
+    assert one[3][~stems].tolist() == several[3][~stems].tolist()
+
+
+def test_terms_are_not_capped():
+    holders = {f"term{k:04d}": [3 * k, 3 * k + 1, 3 * k + 2] for k in range(400)}
+    assert sorted(toxicity.choose_terms(holders)) == sorted(holders)
+    holders = {"blockhead*": [1, 2, 3, 4], "blockheads": [1, 2, 3], "blockheaded": [2, 3, 4], "block*": [1, 2, 3], "rare": [9]}
+    assert toxicity.choose_terms(holders) == ["blockhead*", "blockheaded", "blockheads"]
