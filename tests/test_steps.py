@@ -171,3 +171,14 @@ def test_search_equals_fits_one_by_one(spark, classes):
             held = boosting.held_out(rows, [models.BoostedPerClass(3, **p).candidate("m", fold)], trees, [(0, p["maxIter"])])
             scores.append(models.fold_metrics(held.withColumn("prediction", F.array_position("probability", F.array_max("probability")).cast("int") - 1)).first().f1_weighted)
         assert abs(np.mean(scores) - r["mean"]) < 1e-9
+
+
+def test_boosting_packs_rows_and_scores_once(spark, classes, monkeypatch):
+    x, _, table = classes
+    edges = boosting.bin_edges(table, 3)
+    rows = table.select("label", "weight", "fold", F.xxhash64("id").alias("h"), boosting.vector_to_array("features").alias("x")).coalesce(1)
+    assert rows.mapInArrow(boosting._binned(edges), boosting.STATE).count() == 1  # one packed row, not 400
+    whole = boosting.train(table, [boosting.Candidate(rounds=4, depth=3, fold=1)], 3)[0].margins(x)
+    monkeypatch.setattr(boosting, "BLOCK", 32)
+    monkeypatch.setattr(boosting, "WRITE_ROUNDS", 2)
+    assert np.allclose(boosting.train(table, [boosting.Candidate(rounds=4, depth=3, fold=1)], 3)[0].margins(x), whole, atol=1e-9)
