@@ -4,12 +4,16 @@ Neighbour imputation compares two rows over the columns that both have: the squa
 scaled up by (number of columns / number of shared ones). Each missing cell takes the mean of the k nearest fitted rows
 that have its column, ties to the smaller id. Rows that share no column with any of them take the column mean. All
 missing columns of a row are filled in the same pass.
+
+Two rows whose gaps are known share a known set of columns, in which the distance is a plain one; so in large tables each
+such set is an exact search for neighbours. Rows with rare patterns of gaps are compared with all rows, in blocks.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -27,11 +31,16 @@ from pyspark.sql.window import Window
 
 from ledgerlark.operators.features import _Fitted
 from ledgerlark.operators.fitted import TableModel
+from ledgerlark.operators.models import PARALLEL_FITS, _parallel
+from ledgerlark.operators.neighbours import nearest
 from ledgerlark.operators.ordered import row_index, small_side
 from ledgerlark.session import materialise
 
 BLOCK_ROWS = 4096
 CHUNK_CELLS = 4_000_000
+SMALL_PAIRS = 200_000_000  # pairs of rows up to which all are compared
+MAX_PATTERNS = 64  # patterns of gaps that are listed on the driver
+MAX_SPACES = 32  # sets of shared columns that are searched, a few jobs for each
 
 
 def _values(columns: Sequence[str]):
@@ -43,6 +52,11 @@ def _missing(array: str):
     return F.exists(array, lambda v: v.isNull())
 
 
+def _pattern(array: str):
+    """Which values a row has: 1 or 0 for each column."""
+    return F.array_join(F.transform(array, lambda v: F.when(v.isNull(), "0").otherwise("1")), "")
+
+
 def _grid(rows: pd.Series) -> np.ndarray:
     return np.array([[np.nan if v is None else v for v in row] for row in rows], dtype=np.float64)
 
@@ -76,14 +90,17 @@ def _nearest_givers(k: int):
                     has = np.flatnonzero(~np.isnan(points[:, c]))
                     for row in np.flatnonzero(np.isnan(lacking[:, c])):
                         near = d[row, has]
-                        order = np.argsort(near, kind="stable")[:k]  # NaN comes last
+                        limit = np.partition(near, k - 1)[k - 1] if len(near) > k else np.nan  # NaN comes last
+                        few = np.flatnonzero(near <= limit) if limit == limit else np.arange(len(near))
+                        order = few[np.argsort(near[few], kind="stable")[:k]]
                         order = order[~np.isnan(near[order])]
                         parts["q"] += [some.iloc[row]] * len(order)
                         parts["at"] += [c] * len(order)
                         parts["distance"] += near[order].tolist()
                         parts["giver"] += givers[has[order]].tolist()
                         parts["given"] += points[has[order], c].tolist()
-        return pd.DataFrame(parts)
+        kinds = {"q": object, "at": "int32", "distance": "float64", "giver": object, "given": "float64"}
+        return pd.DataFrame({c: pd.Series(v, dtype=kinds[c]) for c, v in parts.items()})  # also of no rows
 
     return run
 
@@ -115,23 +132,77 @@ class NeighbourImputerModel(TableModel):
     """`table` has the fitted rows `(giver, v)`."""
 
     def fills(self, df: DataFrame) -> DataFrame:
-        """`(q, fill)`: the filled array of each different incomplete row."""
+        """`(q, fill)`: the filled array of each different incomplete row; written once, as later steps read it often."""
         k, means = self.fitted()["k"], self.fitted()["means"]
         asked = materialise(df.select(_values(self.fitted()["columns"]).alias("q")).where(_missing("q")).distinct())
+        asked_rows, given_rows = asked.count(), self.table.count()
+        spaces = self._spaces(asked) if asked_rows * given_rows > SMALL_PAIRS else {}
+        rest = asked.where(~_pattern("q").isin([*spaces])) if spaces else asked
+        found = self._compared(rest, k)
+        if spaces:
+            found = found.unionByName(self._searched(asked, spaces, k))
+        # every block or space brings k rows at most for a cell, of which the k nearest count
+        order = F.row_number().over(Window.partitionBy("q", "at").orderBy("distance", "giver"))
+        cells = found.withColumn("rank", order).where(F.col("rank") <= k).groupBy("q", "at").agg(F.avg("given").alias("fill"))
+        listed = cells.groupBy("q").agg(F.map_from_entries(F.collect_list(F.struct("at", "fill"))).alias("fills"))
+        mean = F.array(*[F.lit(means[c]).cast("double") for c in self.fitted()["columns"]])
+        filled = F.transform("q", lambda v, i: F.coalesce(v, F.col("fills")[i], F.get(mean, i)))
+        return materialise(asked.join(listed, "q", "left").select("q", filled.alias("fill")))
+
+    def _compared(self, asked: DataFrame, k: int) -> DataFrame:
+        """`(q, at, distance, giver, given)` from every pair of rows, in blocks."""
         blocks, groups = (max(1, math.ceil(t.count() / BLOCK_ROWS)) for t in (self.table, asked))
         every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
         asks = asked.select("q", F.pmod(F.xxhash64("q"), F.lit(groups)).cast("int").alias("grp"), every(blocks).alias("block"))
         offers = self.table.select("giver", "v", F.pmod(F.xxhash64("giver", "v"), F.lit(blocks)).cast("int").alias("block"), every(groups).alias("grp"))
         kind = self.table.schema["giver"].dataType.simpleString()
         shape = f"q array<double>, at int, distance double, giver {kind}, given double"
-        found = asks.groupBy("grp", "block").cogroup(offers.groupBy("grp", "block")).applyInPandas(_nearest_givers(k), shape)
-        # every block brings k rows at most for a cell, of which the k nearest count
-        nearest = F.row_number().over(Window.partitionBy("q", "at").orderBy("distance", "giver"))
-        cells = found.withColumn("rank", nearest).where(F.col("rank") <= k).groupBy("q", "at").agg(F.avg("given").alias("fill"))
-        listed = cells.groupBy("q").agg(F.map_from_entries(F.collect_list(F.struct("at", "fill"))).alias("fills"))
-        mean = F.array(*[F.lit(means[c]).cast("double") for c in self.fitted()["columns"]])
-        filled = F.transform("q", lambda v, i: F.coalesce(v, F.col("fills")[i], F.get(mean, i)))
-        return asked.join(listed, "q", "left").select("q", filled.alias("fill"))
+        return asks.groupBy("grp", "block").cogroup(offers.groupBy("grp", "block")).applyInPandas(_nearest_givers(k), shape)
+
+    def _spaces(self, asked: DataFrame) -> dict[str, dict[tuple[int, tuple[int, ...]], list[str]]]:
+        """For each pattern of gaps of asking rows, for each column it lacks and each set of columns it shares with fitted
+        rows that have it, the patterns of these. Patterns that would need more than MAX_SPACES sets in all are left out,
+        rare ones first; so are all if a value is infinite or patterns are too many to list."""
+
+        def patterns(rows: DataFrame, array: str) -> list[str] | None:
+            endless = F.exists(array, lambda v: F.abs(v) == float("inf"))
+            counted = rows.groupBy(_pattern(array).alias("p")).agg(F.count(F.lit(1)).alias("n"), F.max(endless).alias("endless"))
+            listed = counted.orderBy(F.desc("endless"), F.desc("n"), "p").limit(MAX_PATTERNS + 1).collect()
+            return None if len(listed) > MAX_PATTERNS or any(r["endless"] for r in listed) else [r["p"] for r in listed]
+
+        asking, offered = patterns(asked, "q"), patterns(self.table, "v")
+        found, used = {}, 0
+        for p in asking or [] if offered is not None else []:
+            own: dict[tuple[int, tuple[int, ...]], list[str]] = {}
+            for at in (i for i, present in enumerate(p) if present == "0"):
+                for o in offered:
+                    shared = tuple(i for i in range(len(p)) if p[i] == o[i] == "1")
+                    if shared and o[at] == "1":
+                        own.setdefault((at, shared), []).append(o)
+            if own and used + len(own) <= MAX_SPACES:
+                found[p], used = own, used + len(own)
+        return found
+
+    def _searched(self, asked: DataFrame, spaces: dict, k: int) -> DataFrame:
+        """`(q, at, distance, giver, given)`: in the columns shared by two patterns distances are plain ones, so each set is
+        an exact search for neighbours; the k nearest of all are among the k nearest of each."""
+        width = len(self.fitted()["columns"])
+        rows = materialise(row_index(self.table.withColumn("h", F.xxhash64("v")), [], ["giver", "h"], "n").select("n", "giver", "v"))
+
+        def near(task: tuple) -> DataFrame:
+            p, (at, shared), patterns = task
+            own = lambda array: F.array(*[F.col(array)[i] for i in shared])
+            asks = asked.where(_pattern("q") == p).select("q", own("q").alias("x"))
+            offers = rows.where(_pattern("v").isin(patterns)).select("n", own("v").alias("x"))
+            lists = nearest(asks, offers, k, "n", "x").select(F.col("query_v").alias("x"), F.col("neighbour_id").alias("n"))
+            return materialise(asks.join(lists, "x").select("q", F.lit(at).alias("at"), "n"))
+
+        tasks = [(p, space, patterns) for p, own in spaces.items() for space, patterns in own.items()]
+        pairs = reduce(DataFrame.unionByName, _parallel(near, tasks, PARALLEL_FITS, asked)).join(rows, "n")
+        gaps = F.zip_with("q", "v", lambda a, b: F.coalesce((a - b) * (a - b), F.lit(0.0)))
+        shared = F.size(F.filter(F.zip_with("q", "v", lambda a, b: a.isNotNull() & b.isNotNull()), lambda both: both))
+        distance = F.sqrt(F.lit(float(width)) / shared * F.aggregate(gaps, F.lit(0.0), lambda total, v: total + v))
+        return pairs.select("q", "at", distance.alias("distance"), "giver", F.get("v", F.col("at")).alias("given"))
 
     def _transform(self, df: DataFrame) -> DataFrame:
         columns = self.fitted()["columns"]

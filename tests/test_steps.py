@@ -212,3 +212,17 @@ def test_side_by_side_tiles_hold_a_bounded_number():
     points, rows = rng.normal(size=(300, 2)), rng.integers(1, 50, size=300)
     tile = neighbours._side_by_side(points, rows, 400)
     assert tile.max() + 1 == len(np.unique(tile)) and np.bincount(tile, rows).max() <= 400
+
+
+@pytest.mark.parametrize("spaces", [32, 4])
+def test_neighbour_imputer_searches_shared_columns(spark, gappy, monkeypatch, spaces):
+    monkeypatch.setattr(impute, "SMALL_PAIRS", 0)
+    monkeypatch.setattr(impute, "MAX_SPACES", spaces)
+    rows, table = gappy
+    model = impute.NeighbourImputer(inputCols=["a", "b", "c"], k=3).fit(table.where("id % 2 = 0"))
+    compared = []
+    plain = impute.NeighbourImputerModel._compared
+    monkeypatch.setattr(impute.NeighbourImputerModel, "_compared", lambda self, asked, k: compared.append(asked.count()) or plain(self, asked, k))
+    values = sorted((r.id, [round(r[c], 9) for c in "abc"]) for r in model.transform(table).collect())
+    assert values == filled(rows, [r for r in rows if r[0] % 2 == 0], 3)
+    assert (compared == [1]) == (spaces == 32)  # the row without any value; beyond the limit other patterns too
