@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import math
 import random
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
@@ -41,6 +42,8 @@ GRIDS = {
 }
 SEED = 42
 PARALLEL_FITS = 4
+TASK_ROWS = 250_000  # of a task that fits a forest
+LEAST_TASKS = 8
 TEST = -1  # the fold of test rows in a prediction table
 
 
@@ -77,8 +80,17 @@ def scaled(train: DataFrame, *others: DataFrame) -> list[DataFrame]:
     return [apply(df) for df in (train, *others)]
 
 
+class Forest(RandomForestClassifier):
+    """Spark's forest from as few tasks as fill the cluster: every task sums, and shuffles, all nodes of all trees that are
+    split, whatever rows it has. A task still has no more than TASK_ROWS rows."""
+
+    def _fit(self, df: DataFrame) -> Model:
+        most = max(math.ceil(df.count() / TASK_ROWS), df.sparkSession.sparkContext.defaultParallelism, LEAST_TASKS)
+        return super()._fit(df.coalesce(most))
+
+
 def random_forest(**params) -> Estimator:
-    return RandomForestClassifier(weightCol="weight", seed=SEED, **{**PRESETS["random_forest"], **params})
+    return Forest(weightCol="weight", seed=SEED, **{**PRESETS["random_forest"], **params})
 
 
 def logistic(rows: int, C: float = 1.0, maxIter: int = 1000, **params) -> Estimator:

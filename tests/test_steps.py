@@ -226,3 +226,15 @@ def test_neighbour_imputer_searches_shared_columns(spark, gappy, monkeypatch, sp
     values = sorted((r.id, [round(r[c], 9) for c in "abc"]) for r in model.transform(table).collect())
     assert values == filled(rows, [r for r in rows if r[0] % 2 == 0], 3)
     assert (compared == [1]) == (spaces == 32)  # the row without any value; beyond the limit other patterns too
+
+
+def test_forest_is_fitted_in_few_tasks(spark, classes, monkeypatch):
+    table = classes[2].repartition(40)
+    parts = []
+    fit = models.RandomForestClassifier._fit
+    monkeypatch.setattr(models.RandomForestClassifier, "_fit", lambda self, df: parts.append(df.rdd.getNumPartitions()) or fit(self, df))
+    model = models.random_forest(numTrees=3, maxDepth=2).fit(table)
+    assert model.getNumTrees == 3
+    monkeypatch.setattr(models, "TASK_ROWS", 20)
+    models.random_forest(numTrees=3, maxDepth=2).fit(table)
+    assert parts == [max(8, spark.sparkContext.defaultParallelism), 20]
