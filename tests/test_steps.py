@@ -238,3 +238,43 @@ def test_forest_is_fitted_in_few_tasks(spark, classes, monkeypatch):
     monkeypatch.setattr(models, "TASK_ROWS", 20)
     models.random_forest(numTrees=3, maxDepth=2).fit(table)
     assert parts == [max(8, spark.sparkContext.defaultParallelism), 20]
+
+
+def test_boosting_passes_need_no_query_plans(spark, classes, monkeypatch):
+    _, _, table = classes
+    planned, whole = [], type(table).mapInArrow
+    monkeypatch.setattr(type(table), "mapInArrow", lambda self, *args, **options: planned.append(1) or whole(self, *args, **options))
+    some = [boosting.Candidate(rounds=3, depth=4)]
+    trees = boosting.train(table, some, 3)[0]
+    assert len(planned) == 1  # of packing the rows; every level of every round was one before
+    monkeypatch.setattr(boosting, "DRIVER_BYTES", 0)
+    again = boosting.train(table, some, 3)[0]
+    assert (again.feature == trees.feature).all() and (again.value == trees.value).all()  # searched after a shuffle or without
+
+
+def test_validation_grows_all_boosted_models_at_once(spark, classes, monkeypatch):
+    _, _, table = classes
+    rows = table.drop("fold")
+    train, test = rows.where("id % 5 > 0"), rows.where("id % 5 = 0")
+    calls, grow = [], boosting.train
+    monkeypatch.setattr(boosting, "train", lambda *args: calls.append(len(args[1])) or grow(*args))
+    build = lambda part, **p: models.BoostedPerClass(3, maxIter=4, maxDepth=3)
+    found = models.predictions_of({"b": build, "l": lambda part: models.logistic(part.count(), maxIter=5)}, train, test, 2).collect()
+    assert calls == [3]  # two folds and all rows, in the passes of one fit
+    assert sorted(r.id for r in found if r.model == "b") == list(range(400)) == sorted(r.id for r in found if r.model == "l")
+    alone = {r.id: r for r in models.score(build(train).fit(train), test).collect()}
+    held = [r for r in found if r.model == "b" and r.fold == models.TEST]
+    assert {r.id for r in held} == set(alone)
+    for r in held:
+        assert np.allclose(r.probability, alone[r.id].probability, atol=1e-9) and (r.label, r.prediction) == (alone[r.id].label, alone[r.id].prediction)
+
+
+def test_fits_start_few_tasks(spark, classes):
+    rows = classes[2].selectExpr("id", "'c' || label AS name", "CAST(id AS DOUBLE) AS x")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 70)
+    try:
+        frame = models.training_frame(rows, ["x"], "name", "id")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert frame.rdd.getNumPartitions() <= max(spark.sparkContext.defaultParallelism, models.LEAST_TASKS) and frame.count() == 400
