@@ -6,14 +6,14 @@ that have its column, ties to the smaller id. Rows that share no column with any
 missing columns of a row are filled in the same pass.
 
 Two rows whose gaps are known share a known set of columns, in which the distance is a plain one; so in large tables each
-such set is an exact search for neighbours. Rows with rare patterns of gaps are compared with all rows, in blocks.
+such set is a space with an exact search for neighbours, and all spaces are searched by the same jobs. Rows with rare
+patterns of gaps are compared with all rows, in blocks.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -31,8 +31,7 @@ from pyspark.sql.window import Window
 
 from ledgerlark.operators.features import _Fitted
 from ledgerlark.operators.fitted import TableModel
-from ledgerlark.operators.models import PARALLEL_FITS, _parallel
-from ledgerlark.operators.neighbours import nearest
+from ledgerlark.operators.neighbours import nearest_lists
 from ledgerlark.operators.ordered import row_index, small_side
 from ledgerlark.session import materialise
 
@@ -40,7 +39,7 @@ BLOCK_ROWS = 4096
 CHUNK_CELLS = 4_000_000
 SMALL_PAIRS = 200_000_000  # pairs of rows up to which all are compared
 MAX_PATTERNS = 64  # patterns of gaps that are listed on the driver
-MAX_SPACES = 32  # sets of shared columns that are searched, a few jobs for each
+MAX_SPACES = 32  # sets of shared columns that are searched
 
 
 def _values(columns: Sequence[str]):
@@ -123,7 +122,7 @@ class NeighbourImputer(Estimator, HasInputCols, DefaultParamsReadable, DefaultPa
         rows = df.select(F.col(self.getOrDefault(self.idCol)).alias("giver"), _values(columns).alias("v"))
         rows = rows.where(F.exists("v", lambda v: v.isNotNull()))
         # of equal rows no more than k can be among the k nearest
-        place = F.row_number().over(Window.partitionBy("v").orderBy("giver"))
+        place = F.row_number().over(Window.partitionBy(F.xxhash64("v"), "v").orderBy("giver"))
         table = materialise(rows.withColumn("place", place).where(F.col("place") <= k).drop("place"))
         return NeighbourImputerModel({"columns": columns, "k": k, "means": means}, table)
 
@@ -141,8 +140,8 @@ class NeighbourImputerModel(TableModel):
         found = self._compared(rest, k)
         if spaces:
             found = found.unionByName(self._searched(asked, spaces, k))
-        # every block or space brings k rows at most for a cell, of which the k nearest count
-        order = F.row_number().over(Window.partitionBy("q", "at").orderBy("distance", "giver"))
+        # every block or space brings k rows at most for a cell, of which the k nearest count; hashes sort faster than arrays
+        order = F.row_number().over(Window.partitionBy(F.xxhash64("q", "at"), "q", "at").orderBy("distance", "giver"))
         cells = found.withColumn("rank", order).where(F.col("rank") <= k).groupBy("q", "at").agg(F.avg("given").alias("fill"))
         listed = cells.groupBy("q").agg(F.map_from_entries(F.collect_list(F.struct("at", "fill"))).alias("fills"))
         mean = F.array(*[F.lit(means[c]).cast("double") for c in self.fitted()["columns"]])
@@ -151,12 +150,15 @@ class NeighbourImputerModel(TableModel):
 
     def _compared(self, asked: DataFrame, k: int) -> DataFrame:
         """`(q, at, distance, giver, given)` from every pair of rows, in blocks."""
+        kind = self.table.schema["giver"].dataType.simpleString()
+        shape = f"q array<double>, at int, distance double, giver {kind}, given double"
+        asked = asked.where(F.exists("q", lambda v: v.isNotNull()))  # others share no column with any row
+        if asked.isEmpty():
+            return asked.sparkSession.createDataFrame([], shape)
         blocks, groups = (max(1, math.ceil(t.count() / BLOCK_ROWS)) for t in (self.table, asked))
         every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
         asks = asked.select("q", F.pmod(F.xxhash64("q"), F.lit(groups)).cast("int").alias("grp"), every(blocks).alias("block"))
         offers = self.table.select("giver", "v", F.pmod(F.xxhash64("giver", "v"), F.lit(blocks)).cast("int").alias("block"), every(groups).alias("grp"))
-        kind = self.table.schema["giver"].dataType.simpleString()
-        shape = f"q array<double>, at int, distance double, giver {kind}, given double"
         return asks.groupBy("grp", "block").cogroup(offers.groupBy("grp", "block")).applyInPandas(_nearest_givers(k), shape)
 
     def _spaces(self, asked: DataFrame) -> dict[str, dict[tuple[int, tuple[int, ...]], list[str]]]:
@@ -189,16 +191,22 @@ class NeighbourImputerModel(TableModel):
         width = len(self.fitted()["columns"])
         rows = materialise(row_index(self.table.withColumn("h", F.xxhash64("v")), [], ["giver", "h"], "n").select("n", "giver", "v"))
 
-        def near(task: tuple) -> DataFrame:
-            p, (at, shared), patterns = task
-            own = lambda array: F.array(*[F.col(array)[i] for i in shared])
-            asks = asked.where(_pattern("q") == p).select("q", own("q").alias("x"))
-            offers = rows.where(_pattern("v").isin(patterns)).select("n", own("v").alias("x"))
-            lists = nearest(asks, offers, k, "n", "x").select(F.col("query_v").alias("x"), F.col("neighbour_id").alias("n"))
-            return materialise(asks.join(lists, "x").select("q", F.lit(at).alias("at"), "n"))
-
         tasks = [(p, space, patterns) for p, own in spaces.items() for space, patterns in own.items()]
-        pairs = reduce(DataFrame.unionByName, _parallel(near, tasks, PARALLEL_FITS, asked)).join(rows, "n")
+        own = lambda array, shared: F.array(*[F.col(array)[i] for i in shared]).alias("x")
+        inline = lambda structs: F.inline(F.filter(F.array(*structs), lambda s: s.isNotNull()))
+        asks = asked.withColumn("p", _pattern("q")).select("q", inline(
+            [F.when(F.col("p") == p, F.struct(F.lit(n).alias("space"), F.lit(at).alias("at"), own("q", shared))) for n, (p, (at, shared), _) in enumerate(tasks)]
+        ))
+        offers = rows.withColumn("p", _pattern("v")).select("n", inline(
+            [F.when(F.col("p").isin(patterns), F.struct(F.lit(n).alias("space"), own("v", shared))) for n, (_, (_, shared), patterns) in enumerate(tasks)]
+        ))
+        lists = nearest_lists(asks, offers, k, "n", "x", "space").withColumnRenamed("query_v", "x")
+        # lists of several spaces for a cell are cut by their scaled distances, with room for rounding, before rows are joined
+        scaled = F.transform("near", lambda s: F.struct((s["distance"] * F.sqrt(F.lit(float(width)) / F.size("x"))).alias("d"), s["neighbour_id"].alias("n")))
+        listed = asks.join(lists, ["space", "x"]).select(F.xxhash64("q", "at").alias("h"), "q", "at", scaled.alias("near"))
+        whole = listed.groupBy("h", "q", "at").agg(F.array_sort(F.flatten(F.collect_list("near"))).alias("near"))
+        limit = F.coalesce(F.get("near", F.lit(k - 1))["d"] * (1 + 1e-9), F.lit(float("inf")))
+        pairs = whole.select("q", "at", F.explode(F.filter("near", lambda s: s["d"] <= limit)["n"]).alias("n")).join(rows, "n")
         gaps = F.zip_with("q", "v", lambda a, b: F.coalesce((a - b) * (a - b), F.lit(0.0)))
         shared = F.size(F.filter(F.zip_with("q", "v", lambda a, b: a.isNotNull() & b.isNotNull()), lambda both: both))
         distance = F.sqrt(F.lit(float(width)) / shared * F.aggregate(gaps, F.lit(0.0), lambda total, v: total + v))

@@ -278,3 +278,29 @@ def test_fits_start_few_tasks(spark, classes):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert frame.rdd.getNumPartitions() <= max(spark.sparkContext.defaultParallelism, models.LEAST_TASKS) and frame.count() == 400
+
+
+@pytest.mark.parametrize("block", [neighbours.BLOCK_ROWS, 16])
+def test_spaces_are_searched_apart(spark, monkeypatch, block):
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", block)
+    rng = np.random.default_rng(11)
+    some = [(n, i, rng.integers(0, 9, size=1 + n % 2).astype(float).tolist()) for n in (0, 1, 3) for i in range(120)]
+    donors = spark.createDataFrame(some, "part int, id long, v array<double>").repartition(3)
+    asks = spark.createDataFrame([(n, [4.0] * (1 + n % 2)) for n in range(3)], "part int, v array<double>")  # nothing to find in part 2
+    found = {r.space: [(s.distance, s.neighbour_id) for s in r.near] for r in neighbours.nearest_lists(asks, donors, 4, "id", "v", "part").collect()}
+    assert found == {n: sorted((math.dist(v, [4.0] * len(v)), i) for m, i, v in some if m == n)[:4] for n in (0, 1)}
+
+
+def test_imputer_searches_all_columns_in_few_jobs(spark, gappy, monkeypatch):
+    monkeypatch.setattr(impute, "SMALL_PAIRS", 0)
+    _, table = gappy
+    model = impute.NeighbourImputer(inputCols=["a", "b", "c"], k=3).fit(table)
+    calls, search = [], impute.nearest_lists
+    monkeypatch.setattr(impute, "nearest_lists", lambda *args: calls.append(args[0].select("space").distinct().count()) or search(*args))
+    spark.sparkContext.setJobGroup("imputing", "")
+    try:
+        model.transform(table).count()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert calls == [15]  # sets of shared columns, each of which took its own jobs before
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("imputing")) < 150
