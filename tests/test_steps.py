@@ -304,3 +304,31 @@ def test_imputer_searches_all_columns_in_few_jobs(spark, gappy, monkeypatch):
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert calls == [15]  # sets of shared columns, each of which took its own jobs before
     assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("imputing")) < 150
+
+
+def test_boosted_models_of_few_rows_need_no_passes(spark, classes, monkeypatch):
+    """Grown by one task each, bit for bit as by passes over blocks of several parts."""
+    x, _, table = classes
+    dealt = table.repartition(3, "id")
+    some = [boosting.Candidate(rounds=5, depth=4, row_share=0.7, feature_share=0.7, alpha=0.1), boosting.Candidate(rounds=3, depth=2, fold=1), boosting.Candidate(rounds=4, depth=3, fold=2, expanding=True), boosting.Candidate(rounds=2, depth=2, fold=-9, expanding=True)]
+    monkeypatch.setattr(boosting, "BLOCK", 64)
+    monkeypatch.setattr(boosting, "TASK_CELLS", 500)
+    calls, passes = [], boosting._in_passes
+    monkeypatch.setattr(boosting, "_in_passes", lambda *args: calls.append(args) or passes(*args))
+    apart = boosting.train(dealt, some, 3)
+    assert not calls
+    monkeypatch.setattr(boosting, "WHOLE_BYTES", 0)
+    for one, other in zip(apart, boosting.train(dealt, some, 3)):
+        assert one.rows() == other.rows() and (one.margins(x) == other.margins(x)).all()
+    assert len(calls) == 1
+
+
+def test_regression_of_few_rows_passes_in_one_stage(spark, classes, monkeypatch):
+    table = classes[2].repartition(40)
+    parts = []
+    fit = models.LogisticRegression._fit
+    monkeypatch.setattr(models.LogisticRegression, "_fit", lambda self, df: parts.append(df.rdd.getNumPartitions()) or fit(self, df))
+    few = models.logistic(400, maxIter=50).fit(table)
+    monkeypatch.setattr(models, "PASS_ROWS", 20)
+    assert np.allclose(few.coefficientMatrix.toArray(), models.logistic(400, maxIter=50).fit(table).coefficientMatrix.toArray(), atol=1e-6)
+    assert parts == [1, max(8, spark.sparkContext.defaultParallelism)]
